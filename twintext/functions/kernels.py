@@ -117,9 +117,10 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
         if not cache:
             cache.append(ranker())
         rank_of = cache[0]
-        token = tokens.astype("int64")
-        following = np.arange(1, size + 1)
-        previous = np.arange(-1, size - 1)
+        # Pieces are small, so places always fit 32 bits; pair keys do if dense.
+        token = tokens.astype("int32" if dense else "int64")
+        following = np.arange(1, size + 1, dtype="int32")
+        previous = np.arange(-1, size - 1, dtype="int32")
         due = [[] for _ in range(never)]
 
         def file(places, ranks):
@@ -133,7 +134,9 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
             for rank, group in zip(ranks[np.append(0, cuts)], np.split(places, cuts)):
                 due[rank].append(group)
 
-        file(np.arange(size - 1), rank_of(token[:-1] * base + token[1:]))
+        ranks = rank_of(token[:-1] * base + token[1:])
+        known = np.flatnonzero(ranks < never).astype("int32")
+        file(known, ranks[known])
         for rank, (left, right, merged) in enumerate(ordered):
             if not due[rank]:
                 continue

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from twintext.functions.tokens import (
@@ -23,7 +23,7 @@ from twintext.sources.storage import Snapshots
 
 _DEFAULTS = PrepParams()
 _LEADERS = 128  # most frequent pairs looked at after one pass over the corpus
-_SNAPSHOT_EVERY = 16  # merges replayed on the fly before the corpus is rewritten
+_REWRITE_SHARE = 0.2  # rewrite the corpus once merges have removed this share of it
 
 MERGES_SCHEMA = "rank int, left int, right int, token int"
 VOCABULARY_SCHEMA = "token int, bytes binary, is_special boolean"
@@ -90,39 +90,38 @@ def train_bpe(
     corpus: DataFrame,
     vocab_size: int = _DEFAULTS.vocab_size,
     collapse: bool = True,
-    snapshot_every: int = _SNAPSHOT_EVERY,
+    rewrite_share: float = _REWRITE_SHARE,
 ) -> list[Merge]:
     """Learn up to ``vocab_size - 256`` merges from ``(ord, side, text)`` rows.
 
     Every pass over the corpus counts pairs and returns the leading ones; all
     merges that follow from these counts are taken at once. Merges since the
-    last rewrite of the corpus are applied on the fly. Training ends early when
-    no row has a pair left.
+    last rewrite of the corpus are applied on the fly; the corpus is rewritten
+    when that has become worth it. Training ends early when no row has a pair
+    left.
     """
-    spark = corpus.sparkSession
     wanted = vocab_size - BYTE_TOKENS
     merges: list[Merge] = []
     if wanted <= 0:
         return merges
     rows = byte_tokens(collapse_equal(corpus) if collapse else corpus)
-    snapshots = Snapshots(spark)
+    snapshots = Snapshots(corpus.sparkSession)
     try:
         stored, pending = snapshots.write(rows), []
-        by_place = False
+        stored_pairs, by_place = None, False
         while len(merges) < wanted:
-            if len(pending) >= snapshot_every:
-                stored = snapshots.write(_merged(stored, pending))
-                pending = []
-            leaders = _leaders(stored, BYTE_TOKENS + len(merges), by_place, pending)
+            leaders, n_pairs = _leaders(stored, BYTE_TOKENS + len(merges), by_place, pending)
             if not leaders:
                 break
+            stored_pairs = stored_pairs or n_pairs
+            if n_pairs <= (1 - rewrite_share) * stored_pairs:
+                stored = snapshots.write(_merged(stored, pending))
+                stored_pairs, pending = n_pairs, []
             batch = certain_merges(
                 leaders, wanted - len(merges), by_place, complete=len(leaders) < _LEADERS
             )
-            if not batch:
-                # The top count is shared: from here on places are tracked too.
-                by_place = True
-                continue
+            # Without a result the top count is shared: from here on places are tracked too.
+            by_place = by_place or not batch
             for pair in batch:
                 merge = Merge(pair.left, pair.right, BYTE_TOKENS + len(merges))
                 merges.append(merge)
@@ -139,11 +138,16 @@ def _merged(corpus: DataFrame, merges: Sequence[Merge]) -> DataFrame:
 
 def _leaders(
     corpus: DataFrame, vocab_size: int, by_place: bool, pending: Sequence[Merge]
-) -> list[PairCount]:
-    counted = count_adjacent_pairs(corpus, vocab_size, by_place, pending)
+) -> tuple[list[PairCount], int]:
+    """The most frequent pairs, and how many pairs there are in all."""
+    seen = Observation()
+    counted = count_adjacent_pairs(corpus, vocab_size, by_place, pending).observe(
+        seen, F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs")
+    )
     ties = ["first"] if by_place else ["left", "right"]
     top = counted.orderBy(F.desc("n"), *ties).limit(_LEADERS).select("left", "right", "n")
-    return [PairCount(r["left"], r["right"], r["n"]) for r in top.collect()]
+    rows = top.collect()
+    return [PairCount(r["left"], r["right"], r["n"]) for r in rows], seen.get["n_pairs"]
 
 
 def merges_table(spark: SparkSession, merges: Sequence[Merge]) -> DataFrame:
