@@ -412,7 +412,7 @@ def _cut_at_end(spark, d):
 
 def _decode_generated(spark, d):
     merges = pair_merges(spark, d)
-    ids = pad_tokens(bpe_encode(F.col("src"), merges), 4000, start=True, end=True)
+    ids = pad_tokens(bpe_encode(F.col("src"), merges), 1000, start=True, end=True)
     return pairs(spark, d).select(
         "pair_id", decode_generated(ids, vocabulary_bytes(merges)).alias("text")
     )

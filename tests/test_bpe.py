@@ -17,9 +17,7 @@ from twintext.functions.tokens import (
     token_char,
 )
 from twintext.operators.bpe import (
-    PairCount,
     apply_merge,
-    certain_merges,
     expand_vocab,
     merges_table,
     most_frequent_pair,
@@ -27,6 +25,7 @@ from twintext.operators.bpe import (
     train_bpe,
     vocabulary_bytes,
 )
+from twintext.operators.merge_order import PairCount, certain_merges
 from twintext.operators.corpus import byte_tokens, collapse_equal
 from twintext.operators.pair_counts import count_adjacent_pairs, count_pairs_native
 
@@ -195,7 +194,8 @@ def test_tables(spark):
 
 def test_certain_merges_rules():
     def taken(pairs, ordered=True, complete=True, limit=10):
-        return [(p.left, p.right) for p in certain_merges([PairCount(*p) for p in pairs], limit, ordered, complete)]
+        batch, _ = certain_merges([PairCount(*p) for p in pairs], limit, 256, ordered, complete)
+        return [(p.left, p.right) for p in batch]
 
     # Disjoint pairs go together; sharing a right or a left token is allowed.
     assert taken([(1, 2, 9), (3, 4, 8), (1, 5, 7), (6, 2, 6)]) == [(1, 2), (3, 4), (1, 5), (6, 2)]

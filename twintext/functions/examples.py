@@ -42,9 +42,9 @@ def valid_length(padded: Column, pad_id: int = _DEFAULTS.pad_id) -> Column:
 
 def length_mask(length: Column, size: int = _DEFAULTS.max_length) -> Column:
     """``array<tinyint>``: 1 up to the valid length, 0 on the padding."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (i < length).cast("tinyint")
-    )
+    visible, masked = (F.lit(v).cast("tinyint") for v in (1, 0))
+    length = F.least(length, F.lit(size))
+    return F.concat(F.array_repeat(visible, length), F.array_repeat(masked, size - length))
 
 
 def encoder_cells(src_length: Column) -> Column:

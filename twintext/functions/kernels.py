@@ -79,6 +79,31 @@ def sequence_writer(vocab_size: int) -> Callable:
     return write
 
 
+def pair_index(pairs: Sequence[tuple[int, int]], vocab_size: int) -> Callable:
+    """Map pair keys to the position in ``pairs``, or to its length if absent."""
+    base, never = vocab_size + 1, len(pairs)
+    dense = vocab_size <= DENSE_LIMIT
+    keys = np.array([left * base + right for left, right in pairs], "int64")
+    built = []  # in the task, as a table over all pairs is not worth shipping
+
+    def find(wanted):
+        if not built:
+            if dense:
+                table = np.full(base * base, never, "int32")
+                table[keys] = np.arange(never)
+                built.append(table)
+            else:
+                by_key = np.argsort(keys)
+                built.extend((by_key, keys[by_key]))
+        if dense:
+            return built[0][wanted]
+        by_key, sorted_keys = built
+        at = np.minimum(np.searchsorted(sorted_keys, wanted), never - 1)
+        return np.where(sorted_keys[at] == wanted, by_key[at], never)
+
+    return find
+
+
 def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
     """Apply merges, in id order, to all rows of an array at once.
 
@@ -91,32 +116,12 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
     base = vocab_size + 1
     ordered = sorted((tuple(m) for m in merges), key=lambda m: m[2])
     dense = vocab_size <= DENSE_LIMIT
-
-    def ranker():
-        never = len(ordered)
-        keys = np.array([left * base + right for left, right, _ in ordered], "int64")
-        if dense:
-            table = np.full(base * base, never, "int32")
-            table[keys] = np.arange(never)
-            return lambda wanted: table[wanted]
-        place = np.argsort(keys)
-        sorted_keys = keys[place]
-
-        def search(wanted):
-            at = np.minimum(np.searchsorted(sorted_keys, wanted), never - 1)
-            return np.where(sorted_keys[at] == wanted, place[at], never)
-
-        return search
-
-    cache = []
+    rank_of = pair_index([m[:2] for m in ordered], vocab_size)
 
     def merge(tokens):
         size, never = len(tokens), len(ordered)
         if not never or size < 3:
             return tokens
-        if not cache:
-            cache.append(ranker())
-        rank_of = cache[0]
         # Pieces are small, so places always fit 32 bits; pair keys do if dense.
         token = tokens.astype("int32" if dense else "int64")
         following = np.arange(1, size + 1, dtype="int32")

@@ -17,27 +17,23 @@ from twintext.functions.tokens import (
     replace_pairs,
 )
 from twintext.operators.corpus import byte_tokens, collapse_equal
-from twintext.operators.pair_counts import count_adjacent_pairs, count_pairs_native
+from twintext.operators.merge_order import PairCount, certain_merges
+from twintext.operators.pair_counts import count_adjacent_pairs, keyed_pair_counts
 from twintext.params import BYTE_TOKENS, SPECIAL_TOKENS, PrepParams
 from twintext.sources.storage import Snapshots
 
 _DEFAULTS = PrepParams()
-_LEADERS = 128  # most frequent pairs looked at after one pass over the corpus
+_ROWS = 2048  # result rows of one pass over the corpus
+_WATCHED = 32  # pairs whose overlaps are counted along
 _REWRITE_SHARE = 0.2  # rewrite the corpus once merges have removed this share of it
 
 MERGES_SCHEMA = "rank int, left int, right int, token int"
 VOCABULARY_SCHEMA = "token int, bytes binary, is_special boolean"
 
 
-class PairCount(NamedTuple):
-    left: int
-    right: int
-    n: int
-
-
 def most_frequent_pair(corpus: DataFrame, vocab_size: int = BYTE_TOKENS) -> DataFrame:
     """The most frequent pair, on ties the one met first; no row without pairs."""
-    counted = count_pairs_native(corpus, vocab_size)
+    counted = count_adjacent_pairs(corpus, vocab_size, with_first=True)
     return counted.orderBy(F.desc("n"), "first").limit(1)
 
 
@@ -46,46 +42,6 @@ def apply_merge(corpus: DataFrame, merge: Merge) -> DataFrame:
     return corpus.withColumn("seq", replace_pairs(F.col("seq"), [merge]))
 
 
-def certain_merges(
-    leaders: Sequence[PairCount], limit: int, ordered_ties: bool, complete: bool
-) -> list[PairCount]:
-    """The next merges that one set of counts already settles.
-
-    ``leaders`` are the most frequent pairs, most frequent first. Training
-    merges the top pair, recounts, and so on. The recount can be skipped for
-    the next pair in line as long as no accepted pair ends with a token that
-    another one begins with:
-
-    * its own count is untouched, as its occurrences share no token with those
-      of the accepted pairs;
-    * a pair made with a new token, (x, new) or (new, y), occurs at most as
-      often as (x, left) or (right, y) did. Those are not accepted themselves,
-      so they stand further down the list and cannot have a larger count. If
-      the count is equal they were met later, and so is the new pair.
-
-    A pair of two equal tokens overlaps itself, which breaks the second
-    argument, so it ends the run. Ties need the order of first occurrence
-    (``ordered_ties``); without it the run stops before a tie.
-    """
-    taken: list[PairCount] = []
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    for i, pair in enumerate(leaders):
-        if len(taken) == limit or pair.left in rights or pair.right in lefts:
-            break
-        if not ordered_ties:
-            last = i + 1 == len(leaders)
-            unsure = (last and not complete) or (not last and leaders[i + 1].n == pair.n)
-            if unsure:
-                break
-        taken.append(pair)
-        if pair.left == pair.right:
-            break
-        lefts.add(pair.left)
-        rights.add(pair.right)
-    return taken
-
-
 def train_bpe(
     corpus: DataFrame,
     vocab_size: int = _DEFAULTS.vocab_size,
@@ -108,20 +64,28 @@ def train_bpe(
     snapshots = Snapshots(corpus.sparkSession)
     try:
         stored, pending = snapshots.write(rows), []
-        stored_pairs, by_place = None, False
+        stored_pairs, by_place, watched = None, False, []
         while len(merges) < wanted:
-            leaders, n_pairs = _leaders(stored, BYTE_TOKENS + len(merges), by_place, pending)
-            if not leaders:
+            size = BYTE_TOKENS + len(merges)
+            counts = _count(stored, size, by_place, pending, watched)
+            if not counts.leaders:
                 break
-            stored_pairs = stored_pairs or n_pairs
-            if n_pairs <= (1 - rewrite_share) * stored_pairs:
+            stored_pairs = stored_pairs or counts.n_pairs
+            if counts.n_pairs <= (1 - rewrite_share) * stored_pairs:
                 stored = snapshots.write(_merged(stored, pending))
-                stored_pairs, pending = n_pairs, []
-            batch = certain_merges(
-                leaders, wanted - len(merges), by_place, complete=len(leaders) < _LEADERS
+                stored_pairs, pending = counts.n_pairs, []
+            batch, line = certain_merges(
+                counts.leaders,
+                wanted - len(merges),
+                size,
+                by_place,
+                len(counts.leaders) + len(counts.overlaps) < _ROWS,
+                watched,
+                counts.overlaps,
             )
             # Without a result the top count is shared: from here on places are tracked too.
             by_place = by_place or not batch
+            watched = line[:_WATCHED] if batch else watched
             for pair in batch:
                 merge = Merge(pair.left, pair.right, BYTE_TOKENS + len(merges))
                 merges.append(merge)
@@ -136,18 +100,36 @@ def _merged(corpus: DataFrame, merges: Sequence[Merge]) -> DataFrame:
     return corpus.withColumn("seq", merge_sequences(F.col("seq"), merges, vocab_size))
 
 
-def _leaders(
-    corpus: DataFrame, vocab_size: int, by_place: bool, pending: Sequence[Merge]
-) -> tuple[list[PairCount], int]:
-    """The most frequent pairs, and how many pairs there are in all."""
+class _Counts(NamedTuple):
+    leaders: list[PairCount]
+    overlaps: dict[tuple[tuple[int, int], tuple[int, int]], int]
+    n_pairs: int
+
+
+def _count(
+    corpus: DataFrame,
+    vocab_size: int,
+    by_place: bool,
+    pending: Sequence[Merge],
+    watched: Sequence[tuple[int, int]],
+) -> _Counts:
+    """One pass: the most frequent pairs, overlaps of the watched ones, the number of pairs."""
     seen = Observation()
-    counted = count_adjacent_pairs(corpus, vocab_size, by_place, pending).observe(
-        seen, F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs")
+    total = F.coalesce(F.sum(F.when(F.col("pair") >= 0, F.col("n"))), F.lit(0))
+    counted = keyed_pair_counts(corpus, vocab_size, by_place, pending, watched).observe(
+        seen, total.alias("n_pairs")
     )
-    ties = ["first"] if by_place else ["left", "right"]
-    top = counted.orderBy(F.desc("n"), *ties).limit(_LEADERS).select("left", "right", "n")
-    rows = top.collect()
-    return [PairCount(r["left"], r["right"], r["n"]) for r in rows], seen.get["n_pairs"]
+    # Overlaps first: there are at most _WATCHED squared, fewer than _ROWS.
+    order = [F.col("pair") >= 0, F.desc("n"), F.col("first" if by_place else "pair")]
+    rows = counted.orderBy(*order).limit(_ROWS).select("pair", "n").collect()
+    base = vocab_size + 1
+    leaders = [PairCount(r["pair"] // base, r["pair"] % base, r["n"]) for r in rows if r["pair"] >= 0]
+    overlaps = {}
+    for r in rows:
+        if r["pair"] < 0:
+            i, j = divmod(-1 - r["pair"], len(watched))
+            overlaps[watched[i], watched[j]] = r["n"]
+    return _Counts(leaders, overlaps, seen.get["n_pairs"])
 
 
 def merges_table(spark: SparkSession, merges: Sequence[Merge]) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twintext.functions.kernels import DENSE_LIMIT, merger, sequence_reader, slicer
+from twintext.functions.kernels import DENSE_LIMIT, merger, pair_index, sequence_reader, slicer
 from twintext.functions.tokens import Merge, token_array
 from twintext.params import BYTE_TOKENS
 
@@ -59,34 +59,59 @@ def count_adjacent_pairs(
     per token. ``with_first`` adds ``first``: the smallest (ord, side, pos) at
     which the pair occurs. ``merges`` are applied to the rows beforehand.
     """
+    counted = keyed_pair_counts(corpus, vocab_size, with_first, merges)
+    base = F.lit(vocab_size + 1)
+    return counted.select(
+        F.floor(F.col("pair") / base).cast("int").alias("left"),
+        F.pmod(F.col("pair"), base).cast("int").alias("right"),
+        "n",
+        *(["first"] if with_first else []),
+    )
+
+
+def keyed_pair_counts(
+    corpus: DataFrame,
+    vocab_size: int,
+    with_first: bool = False,
+    merges: Sequence[Merge] = (),
+    watched: Sequence[tuple[int, int]] = (),
+) -> DataFrame:
+    """``(pair, n)`` with ``pair = left * (vocab_size + 1) + right``.
+
+    For ``watched`` pairs there are further rows: ``-1 - (i * len(watched) + j)``
+    counts the places where the j-th one starts at the second token of the i-th.
+    """
     weight = F.col("weight") if "weight" in corpus.columns else F.lit(1)
     rows = [F.col("seq"), weight.cast("long").alias("weight")]
     schema = "pair long, n long"
     if with_first:
         rows += [F.col("ord").cast("long").alias("ord"), F.col("side").cast("int").alias("side")]
         schema += ", ord long, side int, pos int"
-    partial = corpus.select(*rows).mapInArrow(_counter(vocab_size, with_first, merges), schema)
+    counter = _counter(vocab_size, with_first, merges, watched)
     measures = [F.sum("n").alias("n")]
     if with_first:
         measures.append(F.min(F.struct("ord", "side", "pos")).alias("first"))
-    base = F.lit(vocab_size + 1)
-    return (
-        partial.groupBy("pair")
-        .agg(*measures)
-        .select(
-            F.floor(F.col("pair") / base).cast("int").alias("left"),
-            F.pmod(F.col("pair"), base).cast("int").alias("right"),
-            "n",
-            *(["first"] if with_first else []),
-        )
-    )
+    return corpus.select(*rows).mapInArrow(counter, schema).groupBy("pair").agg(*measures)
 
 
-def _counter(vocab_size: int, with_first: bool, merges: Sequence[Merge]) -> Callable:
+def _counter(
+    vocab_size: int,
+    with_first: bool,
+    merges: Sequence[Merge],
+    watched: Sequence[tuple[int, int]],
+) -> Callable:
     """Arrow batches of rows to partial counts."""
     base = vocab_size + 1
     dense = vocab_size <= DENSE_LIMIT
     pieces, read, merge = slicer(), sequence_reader(vocab_size), merger(merges, vocab_size)
+    n_watched, watch_of = len(watched), pair_index(watched, vocab_size)
+
+    def overlaps(pairs, spread):
+        """Counts of watched pairs that follow each other with a shared token."""
+        watch = watch_of(pairs)
+        both = np.flatnonzero((watch[:-1] < n_watched) & (watch[1:] < n_watched))
+        cells = watch[both] * n_watched + watch[both + 1]
+        return np.bincount(cells, None if spread is None else spread[both], n_watched**2)
 
     def tally(pairs, spread):
         """Distinct pairs with their counts; the first index only if asked for."""
@@ -109,6 +134,7 @@ def _counter(vocab_size: int, with_first: bool, merges: Sequence[Merge]) -> Call
 
     def count(batches):
         totals = np.zeros(base * base, "int64") if dense and not with_first else None
+        shared = np.zeros(n_watched**2, "int64")
         for whole in batches:
             if with_first:
                 place = np.lexsort((whole.column(3).to_numpy(), whole.column(2).to_numpy()))
@@ -120,6 +146,8 @@ def _counter(vocab_size: int, with_first: bool, merges: Sequence[Merge]) -> Call
                 pairs = tokens[:-1] * base + tokens[1:]
                 weights = rows.column(1).to_numpy()
                 spread = None if (weights == 1).all() else np.repeat(weights, lengths)[:-1]
+                if n_watched and len(pairs):
+                    shared += overlaps(pairs, spread).astype("int64")
                 if totals is not None:
                     totals += tally(pairs, spread)
                     continue
@@ -136,10 +164,14 @@ def _counter(vocab_size: int, with_first: bool, merges: Sequence[Merge]) -> Call
                     out["side"] = rows.column(3).take(pa.array(row))
                     out["pos"] = pa.array((at - (ends - lengths + 1)[row]).astype("int32"))
                 yield pa.RecordBatch.from_pydict(out)
+        keys = np.flatnonzero(shared)
+        out = {"pair": -1 - keys, "n": shared[keys]}
         if totals is not None:
-            keys = np.flatnonzero(totals)
-            yield pa.RecordBatch.from_pydict(
-                {"pair": pa.array(keys), "n": pa.array(totals[keys])}
-            )
+            pairs = np.flatnonzero(totals)
+            out = {"pair": np.append(out["pair"], pairs), "n": np.append(out["n"], totals[pairs])}
+        if with_first:
+            out["ord"] = np.zeros(len(keys), "int64")
+            out["side"] = out["pos"] = np.zeros(len(keys), "int32")
+        yield pa.RecordBatch.from_pydict({name: pa.array(values) for name, values in out.items()})
 
     return count
