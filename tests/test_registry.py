@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+from checks import queries
 from tests.compare import connect, oracle_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,6 +18,26 @@ def duck():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def trained_once():
+    """Many queries train the same small vocabularies; here each is trained once."""
+    patch, known = pytest.MonkeyPatch(), {}
+
+    def once(train):
+        def cached(spark, sf_dir, *size):
+            key = (train.__name__, sf_dir, *size)
+            if key not in known:
+                known[key] = train(spark, sf_dir, *size)
+            return known[key]
+
+        return cached
+
+    for name in ("pair_merges", "document_merges"):
+        patch.setattr(queries, name, once(getattr(queries, name)))
+    yield
+    patch.undo()
+
+
 def test_registry_is_consistent():
     assert set(registry.oracle_sql()) <= set(registry.queries())
 

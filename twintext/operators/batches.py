@@ -38,7 +38,7 @@ def assign_batches(
         placed.where(F.col("__ordinal") < whole)
         .withColumns(
             {
-                "batch_id": F.floor(F.col("__ordinal") / size).cast("long"),
+                "batch_id": F.call_function("div", F.col("__ordinal"), F.lit(size)),
                 "slot": F.pmod(F.col("__ordinal"), F.lit(size)).cast("int"),
             }
         )

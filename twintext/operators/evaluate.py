@@ -88,7 +88,7 @@ def best_so_far(
     inside a block, so that one long run is not a single window group.
     """
     keys = list(keys)
-    block = F.floor(F.col(epoch) / _EPOCHS_PER_BLOCK)
+    block = F.floor(F.col(epoch) / F.lit(_EPOCHS_PER_BLOCK))
     blocked = epochs.withColumn("__block", block)
     earlier_blocks = Window.partitionBy(*keys).orderBy("__block").rowsBetween(
         Window.unboundedPreceding, -1

@@ -62,7 +62,7 @@ def count_adjacent_pairs(
     counted = keyed_pair_counts(corpus, vocab_size, with_first, merges)
     base = F.lit(vocab_size + 1)
     return counted.select(
-        F.floor(F.col("pair") / base).cast("int").alias("left"),
+        F.call_function("div", F.col("pair"), base).cast("int").alias("left"),
         F.pmod(F.col("pair"), base).cast("int").alias("right"),
         "n",
         *(["first"] if with_first else []),

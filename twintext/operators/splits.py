@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twintext.functions.text import numeric_key, numeric_key_value, order_key
+from twintext.operators.filters import split_counts
 from twintext.operators.order import keys_at_ranks
-from twintext.params import PrepParams
+from twintext.params import SPLITS, PrepParams
 
 _DEFAULTS = PrepParams()
 _SHARE_STEPS = 1_000_000
@@ -87,11 +88,18 @@ def take_first_n(df: DataFrame, n: int, row_id: str = "pair_id", key: Column | N
 def take_first_n_per_split(
     df: DataFrame, row_id: str = "pair_id", params: PrepParams = _DEFAULTS, split: str = "split"
 ) -> DataFrame:
-    """Cap every split at its size limit, in the seeded order of the split."""
+    """Cap every split at its size limit, in the seeded order of the split.
+
+    One count settles the splits that are within their limit; only the others
+    need their cut key looked up.
+    """
     key = order_key(F.col(row_id), params.seed)
+    sizes = {r[split]: r["n_rows"] for r in split_counts(df, split).collect()}
     kept = F.lit(False)
-    for name in ("train", "val", "test"):
+    for name in SPLITS:
         here = F.col(split) == name
-        _, (cut,) = keys_at_ranks(df.where(here), key, lambda total, name=name: [params.cap(name)])
-        kept = kept | (here & _upto(key, cut))
+        if sizes.get(name, 0) > params.cap(name):
+            _, (cut,) = keys_at_ranks(df.where(here), key, lambda total, n=params.cap(name): [n])
+            here = here & _upto(key, cut)
+        kept = kept | here
     return df.where(kept)
