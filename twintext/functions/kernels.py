@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DENSE_LIMIT = 2048  # up to here a square table over token pairs fits a task
-_PIECE_BYTES = 4 << 20  # rows are handled in pieces of about this size
+_PIECE_BYTES = 1 << 20  # rows are handled in pieces of about this size
 
 
 def slicer() -> Callable:
@@ -133,7 +133,9 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
             places, ranks = places[known], ranks[known]
             if not len(places):
                 return
-            by_rank = np.argsort(ranks, kind="stable")
+            # Sixteen bits are sorted by radix, in linear time.
+            small = ranks.astype("int16") if never < 2**15 else ranks
+            by_rank = np.argsort(small, kind="stable")
             places, ranks = places[by_rank], ranks[by_rank]
             cuts = np.flatnonzero(np.diff(ranks)) + 1
             for rank, group in zip(ranks[np.append(0, cuts)], np.split(places, cuts)):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,10 +19,23 @@ def token_cross_entropy(logits: Column, label: Column, pad_id: int = _DEFAULTS.p
     The largest logit is taken out of the exponent first, so that large scores
     cannot overflow.
     """
-    peak = F.array_max(logits).cast("double")
-    total = F.aggregate(logits, F.lit(0.0), lambda s, x: s + F.exp(x.cast("double") - peak))
+
+    def log_total(peak: Column) -> Column:
+        total = F.aggregate(logits, F.lit(0.0), lambda s, x: s + F.exp(x.cast("double") - peak))
+        return peak + F.log(total)
+
     chosen = F.element_at(logits, (label + 1).cast("int")).cast("double")
-    return F.when(label == pad_id, F.lit(0.0)).otherwise(peak + F.log(total) - chosen)
+    cost = _bind(F.array_max(logits).cast("double"), log_total) - chosen
+    return F.when(label == pad_id, F.lit(0.0)).otherwise(cost)
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row.
+
+    An expression used inside a lambda is evaluated for every element; a lambda
+    variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def argmax_token(logits: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,13 @@ from twintext.functions.examples import (
 )
 from twintext.functions.tokens import Merge, bpe_encode
 from twintext.operators.batches import assign_batches
-from twintext.operators.filters import filter_length
+from twintext.operators.filters import filter_length, split_counts
 from twintext.operators.splits import take_first_n_per_split
 from twintext.params import PrepParams
 from twintext.sources.storage import materialize_once
 
+log = logging.getLogger(__name__)
+
 _DEFAULTS = PrepParams()
 
 
@@ -58,9 +61,12 @@ def token_pairs_once(
     params: PrepParams = _DEFAULTS,
 ) -> DataFrame:
     """The token-pair table at ``path``, computed first if it is missing."""
-    return materialize_once(
+    stored = materialize_once(
         spark, path, lambda: build_token_pairs(splits, merges, params), partition_by=("split",)
     )
+    for row in split_counts(stored).collect():
+        log.info("%s token pairs: %d", row["split"], row["n_rows"])
+    return stored
 
 
 def train_examples(token_pairs: DataFrame, params: PrepParams = _DEFAULTS) -> DataFrame:
