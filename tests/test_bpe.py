@@ -128,6 +128,25 @@ def test_counts_with_large_vocabulary(spark):
             assert set(large.collect()) == set(small.select(large.columns).collect())
 
 
+def test_copies_are_combined_by_hashing(spark):
+    plan = collapse_equal(corpus_of(spark, {(0, 0): "a", (0, 1): "a"}))
+    assert "SortAggregate" not in plan._jdf.queryExecution().toString()
+    assert [tuple(r) for r in plan.collect()] == [(0, 0, 2, "a")]
+    later = collapse_equal(corpus_of(spark, {(3, 0): "a", (1, 1): "a", (2, 1): "b"})).collect()
+    assert {tuple(r) for r in later} == {(1, 1, 2, "a"), (2, 1, 1, "b")}
+
+
+def test_first_places_over_many_pieces(spark, monkeypatch):
+    import twintext.functions.kernels as kernels
+
+    monkeypatch.setattr(kernels, "_PIECE_BYTES", 64)
+    texts = random_texts(11, 60, "abc ", 40)
+    table = brute.pair_table([(o, s, list(t.encode())) for (o, s), t in texts.items()])
+    corpus = byte_tokens(corpus_of(spark, texts)).repartition(3)
+    counted = count_adjacent_pairs(corpus, with_first=True).collect()
+    assert {(r["left"], r["right"]): (r["n"], tuple(r["first"])) for r in counted} == table
+
+
 def test_ids_beyond_the_surrogates(spark):
     token = 0xD800 + 5
     merges = [Merge(97, 98, token), Merge(token, token, token + 1)]

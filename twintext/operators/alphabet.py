@@ -25,6 +25,8 @@ MALAYALAM = (
     "൦൧൨൩൪൫൬൭൮൯"
     "\u200b\u200c\u200d"
 )
+_CODE_POINTS = 1_114_112
+
 ALPHABETS = {"ml": MALAYALAM, "eng": ENGLISH}
 
 
@@ -51,13 +53,14 @@ def vocab_index(vocabulary: DataFrame) -> tuple[dict[int, str], dict[str, int]]:
 def characters(df: DataFrame, row_id: str, text: str = "text") -> DataFrame:
     """The distinct characters of every row: ``(ord, token)``.
 
-    ``ord`` is the row and the rank of the character's first place in it.
+    ``ord`` puts together the row and the rank of the character's first place
+    in it; one number, so that its minimum can be aggregated by hashing.
     Repetitions go before the rows are multiplied.
     """
     distinct = F.array_distinct(F.array_remove(F.split(F.col(text), ""), ""))
-    return df.select(F.col(row_id).alias("row"), F.posexplode(distinct).alias("rank", "token")).select(
-        F.struct("row", "rank").alias("ord"), "token"
-    )
+    spots = df.select(F.col(row_id).alias("row"), F.posexplode(distinct).alias("rank", "token"))
+    place = F.col("row").cast("decimal(20,0)") * F.lit(_CODE_POINTS).cast("decimal(7,0)")
+    return spots.select((place + F.col("rank")).alias("ord"), "token")
 
 
 def add_distinct_ordered(tokens: DataFrame, token: str = "token", order: str = "ord") -> DataFrame:

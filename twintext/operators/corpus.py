@@ -31,10 +31,19 @@ def collapse_equal(corpus: DataFrame) -> DataFrame:
     """One row per distinct text with its ``weight`` and first place.
 
     Copies are combined in the map tasks already, so a text that makes up a
-    large part of all rows arrives as one row per task.
+    large part of all rows arrives as one row per task. The first place is kept
+    as one id per side, as numbers can be aggregated by hashing and structs
+    only by sorting all texts.
     """
+    first = [F.min(F.when(F.col("side") == s, F.col("ord"))).alias(f"__first{s}") for s in (0, 1)]
+    on_source = F.coalesce(F.col("__first0") <= F.col("__first1"), F.col("__first1").isNull())
     return (
         corpus.groupBy("text")
-        .agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("ord", "side")).alias("first"))
-        .select("first.ord", "first.side", "weight", "text")
+        .agg(F.count(F.lit(1)).alias("weight"), *first)
+        .select(
+            F.least("__first0", "__first1").alias("ord"),
+            F.when(on_source, 0).otherwise(1).alias("side"),
+            "weight",
+            "text",
+        )
     )

@@ -132,46 +132,60 @@ def _counter(
         first[pairs[::-1]] = np.arange(len(pairs) - 1, -1, -1)
         return first[keys]
 
+    def places_of(rows, at, ends, lengths):
+        """(ord, side, pos) of indexes into the tokens of a piece."""
+        row = np.searchsorted(ends, at)
+        place = [rows.column(i).to_numpy()[row] for i in (2, 3)]
+        return [*place, (at - (ends - lengths + 1)[row]).astype("int32")]
+
+    def earlier(places, others):
+        """Element-wise lexicographic comparison."""
+        less, equal = np.zeros(len(places[0]), "bool"), np.ones(len(places[0]), "bool")
+        for mine, theirs in zip(places, others):
+            less |= equal & (mine < theirs)
+            equal &= mine == theirs
+        return less
+
+    def batch_of(keys, n, places):
+        columns = {"pair": keys, "n": n}
+        if with_first:
+            columns.update(zip(("ord", "side", "pos"), places))
+        return pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
+
     def count(batches):
-        totals = np.zeros(base * base, "int64") if dense and not with_first else None
+        totals = np.zeros(base * base if dense else 0, "int64")
+        first = [np.zeros(len(totals) if with_first else 0, t) for t in ("int64", "int32", "int32")]
         shared = np.zeros(n_watched**2, "int64")
         for whole in batches:
             if with_first:
-                place = np.lexsort((whole.column(3).to_numpy(), whole.column(2).to_numpy()))
-                whole = whole.take(pa.array(place))
+                order = np.lexsort((whole.column(3).to_numpy(), whole.column(2).to_numpy()))
+                whole = whole.take(pa.array(order))
             for rows in pieces(whole, whole.nbytes):
                 tokens = merge(read(rows.column(0))).astype("int64")
                 ends = np.flatnonzero(tokens == vocab_size)
                 lengths = np.diff(ends, prepend=-1)
                 pairs = tokens[:-1] * base + tokens[1:]
+                if not len(pairs):
+                    continue
                 weights = rows.column(1).to_numpy()
                 spread = None if (weights == 1).all() else np.repeat(weights, lengths)[:-1]
-                if n_watched and len(pairs):
+                if n_watched:
                     shared += overlaps(pairs, spread).astype("int64")
-                if totals is not None:
-                    totals += tally(pairs, spread)
-                    continue
-                if dense:
-                    counts = tally(pairs, spread)
-                    keys = np.flatnonzero(counts)
-                    n, at = counts[keys], first_index(pairs, keys)
-                else:
+                if not dense:
                     keys, n, at = tally(pairs, spread)
-                out = {"pair": pa.array(keys), "n": pa.array(n)}
+                    yield batch_of(keys, n, places_of(rows, at, ends, lengths) if with_first else ())
+                    continue
+                counts = tally(pairs, spread)
                 if with_first:
-                    row = np.searchsorted(ends, at)
-                    out["ord"] = rows.column(2).take(pa.array(row))
-                    out["side"] = rows.column(3).take(pa.array(row))
-                    out["pos"] = pa.array((at - (ends - lengths + 1)[row]).astype("int32"))
-                yield pa.RecordBatch.from_pydict(out)
-        keys = np.flatnonzero(shared)
-        out = {"pair": -1 - keys, "n": shared[keys]}
-        if totals is not None:
-            pairs = np.flatnonzero(totals)
-            out = {"pair": np.append(out["pair"], pairs), "n": np.append(out["n"], totals[pairs])}
-        if with_first:
-            out["ord"] = np.zeros(len(keys), "int64")
-            out["side"] = out["pos"] = np.zeros(len(keys), "int32")
-        yield pa.RecordBatch.from_pydict({name: pa.array(values) for name, values in out.items()})
+                    keys = np.flatnonzero(counts)
+                    places = places_of(rows, first_index(pairs, keys), ends, lengths)
+                    better = (totals[keys] == 0) | earlier(places, [f[keys] for f in first])
+                    for stored, place in zip(first, places):
+                        stored[keys[better]] = place[better]
+                totals += counts
+        keys, cells = np.flatnonzero(totals), np.flatnonzero(shared)
+        yield batch_of(keys, totals[keys], [f[keys] for f in first] if with_first else ())
+        nowhere = [np.zeros(len(cells), f.dtype) for f in first]
+        yield batch_of(-1 - cells, shared[cells], nowhere)
 
     return count
