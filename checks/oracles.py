@@ -175,6 +175,9 @@ WHERE length(src) <= 300 AND length(tgt) <= 299""",
     "split_counts": f"""SELECT split, count(*) AS n_rows
 FROM {split_of('documents', 'doc_id')} GROUP BY split""",
     "split_storage": f"WITH {SPLIT_PAIRS} SELECT pair_id, src, tgt FROM split_pairs WHERE split = 'val'",
+    "read_json": f"WITH {PAIRS} SELECT * FROM pairs",
+    "read_orc": f"WITH {PAIRS} SELECT * FROM pairs",
+    "read_csv": f"WITH {PAIRS} SELECT * FROM pairs",
     "first_n": """SELECT doc_id, lang FROM
   (SELECT *, row_number() OVER (ORDER BY doc_id) AS r FROM documents) WHERE r <= 300""",
     "first_n_shuffled": f"SELECT doc_id, lang FROM {numbered('documents', 'doc_id')} WHERE k < 300",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from twintext.functions.examples import length_mask, pad_tokens
 from twintext.functions.scoring import cut_at_end, decode_generated
+from twintext.functions.text import order_key
 from twintext.functions.tokens import Merge, bpe_decode, bpe_encode, token_array
 from twintext.operators import alphabet as letters
 from twintext.operators.batches import (
@@ -50,7 +51,6 @@ from twintext.operators.splits import (
     take_first_n,
     take_first_n_per_split,
 )
-from twintext.functions.text import order_key
 from twintext.params import PrepParams
 from twintext.plans.examples import (
     build_token_pairs,
@@ -62,7 +62,7 @@ from twintext.plans.examples import (
 )
 from twintext.plans.prepare import prepare_corpus
 from twintext.plans.scoring import validation_report
-from twintext.sources.pairs import read_split, turn_pairs, write_splits
+from twintext.sources.pairs import read_pairs, read_split, turn_pairs, write_splits
 from twintext.sources.storage import ensure_directory, join_path, shared_directory
 from twintext.sources.tokens import read_token_pairs, write_token_pairs
 
@@ -199,6 +199,19 @@ def _split_storage(spark, d):
     return read_split(spark, path, "val").select("pair_id", "src", "tgt")
 
 
+def _reread(spark, d, format, **options):
+    """Pairs written in another format and read back with the given schema."""
+    path = join_path(fresh_directory(spark), format)
+    pairs(spark, d).write.options(**options).format(format).save(path)
+    return read_pairs(spark, path, format, **options)
+
+
+def _read_csv(spark, d):
+    # Texts hold line breaks and quotes and are kept to the last blank.
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return _reread(spark, d, "csv", multiLine="true", escape='"', **blanks)
+
+
 def _first_n(spark, d):
     return take_first_n(documents(spark, d, "lang"), 300, "doc_id")
 
@@ -441,6 +454,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_hash": _split_hash,
     "split_counts": _split_counts,
     "split_storage": _split_storage,
+    "read_json": lambda spark, d: _reread(spark, d, "json"),
+    "read_orc": lambda spark, d: _reread(spark, d, "orc"),
+    "read_csv": _read_csv,
     "first_n": _first_n,
     "first_n_shuffled": _first_n_shuffled,
     "first_n_per_split": _first_n_per_split,
