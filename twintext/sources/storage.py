@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -55,13 +56,13 @@ def materialize_once(
 def shared_directory(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    Local sessions without the setting get a temporary folder; a cluster has to
-    name a folder that all executors see.
+    Sessions whose tasks run in the driver's own process get a temporary folder
+    if it is unset, as in tests; all others have to name one that executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="twintext-")
     spark.sparkContext.setCheckpointDir(local)
