@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import quality_rules
+from twintext.llm import line_dedup, quality_rules
 from twintext.llm.common import table
 
 
@@ -12,8 +12,65 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+            FROM documents),
+        p AS (
+            SELECT doc_id, i,
+                   array_to_string(w[i:i + 4], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+        twice AS (
+            SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+            FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM p) WHERE c >= 2),
+        r AS (
+            SELECT doc_id, sum(least(5, i - coalesce(before, -5)))::BIGINT AS n_repeat_words
+            FROM twice GROUP BY doc_id),
+        m AS (
+            SELECT d.doc_id, len(w)::BIGINT AS n_words,
+                   length(array_to_string(w, ''))::BIGINT AS word_chars,
+                   (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+                   (length(t) - length(replace(t, '!', '')))::BIGINT AS n_exclamations,
+                   len(ls)::BIGINT AS n_lines
+            FROM d LEFT JOIN r USING (doc_id)),
+        f AS (
+            SELECT *, ((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT
+                + 4 * (10 * n_symbols > n_words)::INT + 8 * (10 * n_exclamations > 3 * n_words)::INT
+                + 16 * (10 * n_dup_lines > 3 * n_lines)::INT
+                + 32 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::INT)::BIGINT AS failed_bits
+            FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept,
+               n_exclamations, n_lines, failed_bits
+        FROM f""",
+    "op7_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, line, pos,
+                   translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+        k AS (
+            SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 40
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        j AS (
+            SELECT l.*, last IS NOT NULL AND last <> doc_id AS gone FROM l LEFT JOIN k USING (key))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM j GROUP BY doc_id""",
+}
