@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import line_dedup, quality_rules
+from twintext.llm import bpe_automaton, line_dedup, quality_rules
 from twintext.llm.common import table
 
 
+def vocabulary_file(name: str) -> str:
+    """Where the installed vocabulary files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe_automaton.digests(docs, vocabulary_file("byte_bpe_50k.json"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
@@ -17,6 +29,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe_automaton": op3_bpe_automaton,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
 }
