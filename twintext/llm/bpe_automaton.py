@@ -15,7 +15,8 @@ ends a prefix is the one whose arc leaves the state at its start. Decoding emits
 the labels of the arcs. The merges themselves are never replayed.
 
 A null text counts as empty and has no tokens; equal rows give equal results; an
-empty table gives none. Texts are encoded whole; a word costs time in proportion
+empty table gives none. Python tasks need this package: call
+:func:`~twintext.llm.common.ship_package` before :func:`encode`. Texts are encoded whole; a word costs time in proportion
 to its length. Special strings of the vocabulary file are one token each
 wherever they stand. Only the named column is read. The file is read by the
 executors, so its path has to exist there.
@@ -32,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twintext.llm.common import ship_package
 from twintext.llm.pretokens import WordTable, splitter
 
 _REMEMBERED = 1_000_000  # arcs looked up that are kept; then the memory starts anew
@@ -200,6 +202,7 @@ def decode(ids: Column, path: str) -> Column:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
+    ship_package(docs.sparkSession)
     encoded = docs.select("doc_id", encode(F.col("text"), path).alias("ids"))
     decoded = encoded.select("doc_id", "ids", decode(F.col("ids"), path).alias("decoded"))
     return decoded.select(

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python tasks of this application import this package.
+
+    Its sources go to the shared folder as one archive, which Spark hands to the
+    executors; what a task compiles once then stays in its worker's modules.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    path = join_path(shared_directory(spark), f"{package.name}-{uuid.uuid4().hex}.zip")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    stream = fs.create(target)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names near ``names`` that ``df`` does not have yet, in any case."""
     taken = {c.lower() for c in df.columns}
