@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, quality_rules
+from twintext.llm import bpe_automaton, line_dedup, packing, quality_rules
 from twintext.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(docs, vocabulary_file("byte_bpe_50k.json"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed_pieces(docs, vocabulary_file("word_bpe_49k.json"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
@@ -30,6 +35,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_bpe_automaton": op3_bpe_automaton,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
 }
