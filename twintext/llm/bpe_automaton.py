@@ -180,7 +180,8 @@ def encode(text: Column, path: str) -> Column:
         values = np.frombuffer(b"".join(rows), "<i4")
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
-    return F.arrow_udf(run, "array<int>")(text)
+    # Else a plan that also decodes the ids would encode each text twice.
+    return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
 
 
 def decode(ids: Column, path: str) -> Column:
