@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, packing, quality_rules
+from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules
 from twintext.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, near_dedup.Rule(words=3, percent=85))
+
+
 def vocabulary_file(name: str) -> str:
     """Where the installed vocabulary files lie."""
     import public_tokenizers
@@ -34,6 +39,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_bpe_automaton": op3_bpe_automaton,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
