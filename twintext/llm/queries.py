@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules
+from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, url_filter
 from twintext.llm.common import table
 
 
@@ -38,12 +38,28 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+#: The rules of the query. Hosts that none fits are blocked if they are listed.
+URL_RULES = [
+    url_filter.Rule("allow", "com/"),
+    url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"),
+    url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+]
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judged(pages, URL_RULES, url_filter.query_heavy_hosts(pages))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_bpe_automaton": op3_bpe_automaton,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
+    "op10_url_filters": op10_url_filters,
 }
 
 ORACLES = {
@@ -98,4 +114,30 @@ ORACLES = {
         SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM j GROUP BY doc_id""",
+    "op10_url_filters": r"""
+        WITH a AS (
+            SELECT page_id, url,
+                   CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        h AS (
+            SELECT page_id, url,
+                   translate(regexp_extract(rest, '^[^/?#]*'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM a),
+        listed AS (
+            SELECT host, true AS listed FROM h GROUP BY host
+            HAVING count(*) >= 2 AND 2 * count(*) FILTER (WHERE instr(url, '?') > 0) > count(*)),
+        rules(verdict, pattern, rule_host, rule_path) AS (VALUES
+            ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+            ('allow', 'www.example.com/en/', 'www.example.com', '/en/'),
+            ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
+        fits AS (
+            SELECT page_id, arg_max(pattern, length(pattern)) AS rule, arg_max(verdict, length(pattern)) AS verdict
+            FROM h JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                             AND starts_with(path, rule_path)
+            GROUP BY page_id)
+        SELECT h.page_id, h.host, h.path, rule,
+               coalesce(verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+        FROM h LEFT JOIN fits USING (page_id) LEFT JOIN listed ON listed.host = h.host""",
 }
