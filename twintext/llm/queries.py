@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, url_filter
+from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, url_filter, vector_search
 from twintext.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 #: The rules of the query. Hosts that none fits are blocked if they are listed.
 URL_RULES = [
     url_filter.Rule("allow", "com/"),
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
+    "op8_vector_search": op8_vector_search,
     "op10_url_filters": op10_url_filters,
 }
 
