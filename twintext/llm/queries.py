@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, url_filter, vector_search
+from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, url_filter, vector_search, warc_archives
 from twintext.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, near_dedup.Rule(words=3, percent=85))
 
 
+def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archives.written_and_read(table(spark, sf_dir, "pages"))
+
+
 def vocabulary_file(name: str) -> str:
     """Where the installed vocabulary files lie."""
     import public_tokenizers
@@ -60,6 +64,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_warc_archives": op2_warc_archives,
     "op3_bpe_automaton": op3_bpe_automaton,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
@@ -69,6 +74,17 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_warc_archives": r"""
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)""",
     "op5_quality_rules": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t,
