@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, url_filter, vector_search, warc_archives
+from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, token_counts, url_filter, vector_search, warc_archives
 from twintext.llm.common import table
 
 
@@ -47,6 +47,11 @@ def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, vocabulary_file("byte_bpe_50k.tiktoken"))
+
+
 #: The rules of the query. Hosts that none fits are blocked if they are listed.
 URL_RULES = [
     url_filter.Rule("allow", "com/"),
@@ -70,6 +75,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_vector_search": op8_vector_search,
+    "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
 }
 
