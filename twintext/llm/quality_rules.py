@@ -138,8 +138,11 @@ def passes(failed: Column, policy: Policy) -> Column:
 
 def keep_passing(df: DataFrame, policy: Policy = STANDARD, text: str = "text") -> DataFrame:
     """The documents that pass, unchanged."""
-    (name,) = fresh(df, "ledger")
-    judged = with_ledger(df, text, name).where(passes(F.col(f"{name}.failed"), policy))
+    name, mark = fresh(df, "ledger", "mark")
+    # Not a filter: that would be moved below the measurements, with a copy of
+    # them in place of every mention. Exploding null gives no row.
+    stays = F.when(passes(F.col(f"{name}.failed"), policy), F.array(F.lit(True)))
+    judged = with_ledger(df, text, name).select(*df.columns, F.explode(stays).alias(mark))
     return judged.select(*df.columns)
 
 
