@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintext.llm import bpe_automaton, line_dedup, near_dedup, packing, quality_rules, token_counts, url_filter, vector_search, warc_archives
+from twintext.llm import (
+    bpe_automaton,
+    chat_format,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_rules,
+    token_counts,
+    url_filter,
+    vector_search,
+    warc_archives,
+)
 from twintext.llm.common import table
 
 
@@ -38,6 +49,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.flat(table(spark, sf_dir, "conversations"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -73,6 +88,7 @@ QUERIES = {
     "op3_bpe_automaton": op3_bpe_automaton,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
     "op8_vector_search": op8_vector_search,
     "op9_token_counts": op9_token_counts,
@@ -127,6 +143,24 @@ ORACLES = {
                failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept,
                n_exclamations, n_lines, failed_bits
         FROM f""",
+    "op6_chat_format": r"""
+        WITH t AS (SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+        s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+        g AS (
+            SELECT conv_id, speaker, turn, role, text, turn // 32 AS block, coalesce(role = speaker, false) AS trained,
+                   '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
+                       WHEN role IS NULL THEN 'user' ELSE 'user name=' || role END || chr(10) AS header
+            FROM t JOIN s USING (conv_id)),
+        r AS (
+            SELECT *, header || text || '<|im_end|>' || chr(10) AS rendered FROM g),
+        o AS (
+            SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, speaker, block
+                ORDER BY turn NULLS FIRST, role NULLS FIRST, text ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM r)
+        SELECT conv_id, speaker, block, NULL::BIGINT AS crowded_turn, 0::INT AS lane, count(*)::INT AS n_turns,
+               string_agg(rendered, '' ORDER BY e) AS text,
+               coalesce(string_agg((e - length(rendered) + length(header)) || '-' || e, ' ' ORDER BY e)
+                   FILTER (WHERE trained), '') AS trained
+        FROM o GROUP BY conv_id, speaker, block""",
     "op7_line_dedup": r"""
         WITH l AS (
             SELECT doc_id, line, pos,
