@@ -22,8 +22,10 @@ row. An empty table gives none. Texts are tokenized whole.
 
 from __future__ import annotations
 
+import re
+import struct
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -32,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from twintext.llm.bpe_automaton import printable_bytes
 from twintext.llm.common import Scratch, ship_package
-from twintext.llm.pretokens import WordTable
+from twintext.llm.pretokens import PLAIN, PLAIN_LETTERS, PLAIN_NUMBERS, WordTable
 
 CAPACITY = 4096
 END_ID = 1
@@ -41,16 +44,50 @@ _GROUP = 50_000  # documents that are ranked together
 _SMALL_PLAN = 200_000  # moves (40 bytes each) that may be sent to every executor
 
 
+#: The split pattern of the vocabulary file, for lower-case Latin text.
+_PARTS = (
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{PLAIN_LETTERS}]+|[{PLAIN_NUMBERS}]|[^ \n{PLAIN_LETTERS}{PLAIN_NUMBERS}]+"
+)
+
+
 @lru_cache
-def _word_ids(path: str) -> WordTable:
-    """Ids by word. A word ends at a space or line break, which this vocabulary drops."""
+def _encoder(path: str) -> Callable[[str], bytes]:
+    """A text's ids, as little-endian 32-bit integers.
+
+    Latin texts are composed already, and their lower case depends on single
+    characters only. They are put in lower case and split here, and only their
+    distinct parts go to the library's merges: its steps for whole texts cost
+    more than the merges. Other texts take the library's whole way, word by word; a word
+    ends at a space or line break, which this vocabulary drops.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    encode = tokenizer.encode
-    return WordTable(lambda w: np.array(encode(w, add_special_tokens=False).ids, "<u4").tobytes())
+    encode, merge = tokenizer.encode, tokenizer.model.tokenize
+    split, plain = re.compile(_PARTS).findall, re.compile(PLAIN).fullmatch
+    shown = str.maketrans({b: c for c, b in printable_bytes().items()})
+    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def part_ids(part: str) -> bytes:
+        coded = part if part.isascii() else part.encode().decode("latin-1").translate(shown)
+        return packed([t.id for t in merge(coded)])
+
+    of_part = WordTable(part_ids).__getitem__
+    of_word = WordTable(
+        lambda word: packed(encode(word, add_special_tokens=False).ids), limit=300_000
+    ).__getitem__
+
+    def ids(text: str) -> bytes:
+        if plain(text) and not any(s in text for s in specials):
+            return b"".join(map(of_part, split(text.lower())))
+        return b"".join(map(of_word, text.replace("\n", " ").split(" ")))
+
+    return ids
 
 
 def token_pieces(
@@ -66,12 +103,11 @@ def token_pieces(
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _word_ids(path).__getitem__
+        ids_of = _encoder(path)
         for batch in batches:
             row, piece, pieces = [], [], []
             for k, value in enumerate(batch.column(1)):
-                words = (value.as_py() or "").replace("\n", " ").split(" ")
-                ids = b"".join(map(ids_of, words)) + end
+                ids = ids_of(value.as_py() or "") + end
                 cuts = range(0, len(ids), step)
                 row += [k] * len(cuts)
                 piece += range(len(cuts))
