@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from checks.queries import BATCHES_PER_EPOCH, DOCUMENT_MERGES, PAD_LABEL, PAIR_MERGES, TGT_LIMIT
 from twintext.operators.alphabet import alphabet
-from twintext.params import END_TOKEN, PADDING_TOKEN, SPECIAL_TOKENS, START_TOKEN
+from twintext.params import END_TOKEN, PADDING_TOKEN, START_TOKEN, special_tokens
 
-START = SPECIAL_TOKENS[START_TOKEN]
-PAD = SPECIAL_TOKENS[PADDING_TOKEN]
-END = SPECIAL_TOKENS[END_TOKEN]
+START, PAD, END = (special_tokens(500)[name] for name in (START_TOKEN, PADDING_TOKEN, END_TOKEN))
 
 PAIRS = """
 pairs AS (
@@ -152,6 +150,10 @@ rollup_ AS (SELECT tag, epoch, avg(value) AS avg_value, count(*) AS n,
   min(epoch * {BATCHES_PER_EPOCH} + batch)::bigint AS first_step,
   max(epoch * {BATCHES_PER_EPOCH} + batch)::bigint AS last_step FROM log GROUP BY tag, epoch)"""
 
+# Texts left alone, and texts meant to end inside a character where they have none.
+DAMAGED = """SELECT doc_id AS pair_id, text AS src, lang AS tgt,
+  doc_id % 4 = 0 OR doc_id % 4 = 2 AND NOT regexp_matches(text, '[^\\x00-\\x7f]') AS well_formed FROM documents"""
+
 EARLIER = "ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 ORACLES: dict[str, str] = {
@@ -172,9 +174,14 @@ WHERE length(src) <= 300 AND length(tgt) <= 299""",
     "length_report": f"""WITH {PAIRS} SELECT
   count(*) FILTER (length(src) > 300 OR length(tgt) > 299) AS exceeded, count(*) AS total FROM pairs""",
     "split_exact": f"SELECT doc_id, split FROM {split_of('documents', 'doc_id')}",
+    "split_hash": f"""SELECT doc_id, CASE WHEN k < '4{'0' * 31}' THEN 'test' WHEN k < '8{'0' * 31}' THEN 'val'
+  ELSE 'train' END AS split FROM (SELECT doc_id, md5('1:' || doc_id) AS k FROM documents)""",
+    "malformed_pairs": "SELECT pair_id, src, tgt FROM (" + DAMAGED + ") WHERE well_formed",
+    "malformed_report": "SELECT count(*) FILTER (NOT well_formed) AS invalid, count(*) AS total FROM (" + DAMAGED + ")",
     "split_counts": f"""SELECT split, count(*) AS n_rows
 FROM {split_of('documents', 'doc_id')} GROUP BY split""",
     "split_storage": f"WITH {SPLIT_PAIRS} SELECT pair_id, src, tgt FROM split_pairs WHERE split = 'val'",
+    "read_parquet": f"WITH {PAIRS} SELECT * FROM pairs",
     "read_json": f"WITH {PAIRS} SELECT * FROM pairs",
     "read_orc": f"WITH {PAIRS} SELECT * FROM pairs",
     "read_csv": f"WITH {PAIRS} SELECT * FROM pairs",
@@ -224,11 +231,13 @@ UNION ALL SELECT * FROM (VALUES ({START}, hex(encode('{START_TOKEN}')), true),
 sides AS (SELECT ord, side::int AS side, {ids(encoded('text'))} AS token
   FROM {BOTH_SIDES.format('pairs')}, merge_list)
 {flat('ord, side', 'sides', 'token')}""",
-    "bpe_encode_documents": f"""{WITH_DOCUMENT_MERGES}
+    "bpe_encode_documents": f"""{WITH_PAIR_MERGES}
 SELECT doc_id, length({encoded('text')})::int AS n_tokens FROM documents, merge_list""",
     "bpe_decode": "SELECT doc_id, text FROM documents",
-    "roundtrip": """SELECT count(*) AS n_failed FROM documents
-WHERE decode(encode(text)) IS DISTINCT FROM text""",
+    "bpe_decode_520": f"SELECT doc_id, text || '{END_TOKEN}' AS text FROM documents",
+    "decode_stored": "SELECT doc_id, text FROM documents",
+    "prepare_again": f"WITH {SPLIT_PAIRS} SELECT split, count(*) AS n_rows FROM split_pairs GROUP BY split",
+    "roundtrip": "SELECT count(*) AS n_failed FROM (" + DAMAGED + ") WHERE NOT well_formed AND pair_id % 4 <> 3",
     "token_pairs": f"""{TOKEN_PAIRS},
 sides AS (SELECT pair_id, split, 0 AS side, src_tokens AS token FROM token_pairs
   UNION ALL SELECT pair_id, split, 1, tgt_tokens FROM token_pairs)
@@ -249,7 +258,8 @@ SELECT pair_id, (src_len * src_len)::bigint AS encoder_cells,
     "non_pad": f"""{EXAMPLES}
 SELECT pair_id, len(list_filter(label, lambda x: x <> {PAD}))::int AS n_labels FROM examples""",
     "cut_ends": f"""{TOKEN_PAIRS}
-SELECT count(*) FILTER (len(tgt_tokens) >= 300) AS n_cut, count(*) AS total FROM token_pairs""",
+SELECT count(*) FILTER (len(tgt_tokens) >= 300) AS n_cut,
+  count(*) FILTER (len(src_tokens) > 300) AS n_src_cut, count(*) AS total FROM token_pairs""",
     "epoch_batches": f"""{EXAMPLES},
 placed AS (SELECT * FROM {numbered("(SELECT * FROM examples WHERE split = 'train')", 'pair_id', '1:1')}
   WHERE k < total // 16 * 16)
@@ -268,6 +278,13 @@ sides AS (SELECT ord, side::int AS side, list_transform(string_split(text, ''),
   lambda c: coalesce(list_position({ENGLISH_LIST}, c) - 1, 3)::int) AS token
   FROM {BOTH_SIDES.format('pairs')})
 {flat('ord, side', 'sides', 'token')}""",
+    "document_indexes": """WITH spots AS (
+  SELECT doc_id, i, a[i] AS token FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i
+    FROM (SELECT doc_id, string_split(text, '') AS a FROM documents))),
+firsts AS (SELECT token, min(struct_pack(d := doc_id, p := i)) AS f FROM spots GROUP BY token),
+vocabulary AS (SELECT token, row_number() OVER (ORDER BY f) AS idx FROM firsts)
+SELECT doc_id, count(*)::int AS n_chars, sum(i * idx)::bigint AS weighted_sum
+FROM spots JOIN vocabulary USING (token) GROUP BY doc_id""",
     "detokenize": f"""SELECT doc_id, array_to_string(list_transform(string_split(text, ''),
   lambda c: CASE WHEN list_contains({ENGLISH_LIST}, c) THEN c ELSE '{ENGLISH[3]}' END), '') AS text
 FROM documents""",
@@ -278,7 +295,7 @@ FROM documents""",
     "validation_report": f"""WITH {SCORED} SELECT epoch, round(loss, 6) AS loss, n_batches,
   coalesce(loss < min(loss) OVER ({EARLIER}), true) AS is_best FROM epochs""",
     "cut_at_end": f"""{TOKEN_PAIRS},
-cut AS (SELECT pair_id, list_concat(tgt_tokens, [{END}])[1:299] AS token FROM token_pairs)
+cut AS (SELECT pair_id, list_concat(tgt_tokens, [{END}]) AS token FROM token_pairs)
 {flat('pair_id', 'cut', 'token')}""",
     "decode_generated": f"WITH {PAIRS} SELECT pair_id, src || '{END_TOKEN}' AS text FROM pairs",
     "metric_rollup": f"""WITH {METRICS}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from twintext.functions.tokens import Merge, bpe_decode, bpe_encode, token_array
 from twintext.operators import alphabet as letters
 from twintext.operators.batches import (
     assign_batches,
-    preview_batches,
+    first_batches,
     sample_every_k,
     shuffle_epoch,
 )
@@ -25,6 +26,7 @@ from twintext.operators.bpe import (
     merges_table,
     most_frequent_pair,
     roundtrip_failures,
+    stored_bytes,
     train_bpe,
     vocabulary_bytes,
 )
@@ -63,12 +65,14 @@ from twintext.plans.examples import (
 from twintext.plans.prepare import prepare_corpus
 from twintext.plans.scoring import validation_report
 from twintext.sources.pairs import read_pairs, read_split, turn_pairs, write_splits
-from twintext.sources.storage import ensure_directory, join_path, shared_directory
+from twintext.sources.storage import delete_path, ensure_directory, join_path, shared_directory
 from twintext.sources.tokens import read_token_pairs, write_token_pairs
+from twintext.sources.vocabulary import read_vocabulary
 
 TGT_LIMIT = 2000  # the given replies are longer than the default limit
-PAIR_MERGES = 24
+PAIR_MERGES = 244
 DOCUMENT_MERGES = 8
+LARGE_VOCABULARY = 520
 PAD_LABEL = 9
 BATCHES_PER_EPOCH = 24
 CAPS = PrepParams(max_train_size=300, max_val_size=100, max_test_size=100)
@@ -82,22 +86,43 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", *columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on inputs with fewer file splits than cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_pairs(table(spark, sf_dir, "conversations"))
 
 
+def stored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs as a table, for what reads them again and again."""
+    path = join_path(fresh_directory(spark), "pairs")
+    pairs(spark, sf_dir).write.parquet(path)
+    return read_pairs(spark, path)
+
+
+def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pairs in a binary Parquet table, of which many are damaged.
+
+    By turns a text is left alone, led by a byte that no text holds, ended inside
+    its first character of several bytes, or missing.
+    """
+    data = F.col("text").cast("binary")
+    ascii_part = F.regexp_extract("text", r"\A[\x00-\x7f]*", 0)
+    inside = F.substring(data, 1, F.octet_length(ascii_part) + 1)
+    kind = F.col("doc_id") % 4
+    src = F.when(kind == 0, data).when(kind == 1, F.concat(F.lit(b"\xff"), data)).when(kind == 2, inside)
+    path = join_path(fresh_directory(spark), "damaged")
+    docs = documents(spark, sf_dir, "text", "lang")
+    docs.select(
+        F.col("doc_id").alias("pair_id"), src.alias("src"), F.col("lang").cast("binary").alias("tgt")
+    ).write.parquet(path)
+    return read_pairs(spark, path, schema="pair_id long, src binary, tgt binary")
+
+
 def split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_valid_utf8(random_split_exact(pairs(spark, sf_dir)))
 
 
 def pair_merges(spark: SparkSession, sf_dir: str, n: int = PAIR_MERGES) -> list[Merge]:
-    train = split_pairs(spark, sf_dir).where(F.col("split") == "train")
+    splits = filter_valid_utf8(random_split_exact(stored_pairs(spark, sf_dir)))
+    train = splits.where(F.col("split") == "train")
     return train_bpe(unpivot_corpus(train), 256 + n)
 
 
@@ -146,10 +171,19 @@ def by_token(df: DataFrame, tokens: str) -> DataFrame:
 
 
 def fresh_directory(spark: SparkSession) -> str:
+    """A folder in the shared one, deleted at the end as lazy results still read it."""
     path = join_path(shared_directory(spark), f"twintext-query-{uuid.uuid4().hex}")
+    atexit.register(_delete, spark, path)
     return ensure_directory(spark, path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        delete_path(spark, path)
+    except Exception:  # the session has ended before
+        pass
+
+
 def top_adjacent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read, filter, unpivot, tokenize, count: the 20 leading pairs with ties in order."""
     kept = filter_length(filter_valid_utf8(pairs(spark, sf_dir)), 300, TGT_LIMIT)
@@ -237,7 +271,7 @@ def _every_k(spark, d):
 
 
 def _preview(spark, d):
-    return preview_batches(_batches(spark, d), 2)
+    return first_batches(documents(spark, d), 2, 0, "doc_id")
 
 
 def _corpus_sides(spark, d):
@@ -250,7 +284,7 @@ def _byte_tokens(spark, d):
 
 
 def _pair_counts(spark, d):
-    return count_adjacent_pairs(byte_tokens(text_corpus(spread(documents(spark, d, "text")), "doc_id")))
+    return count_adjacent_pairs(byte_tokens(text_corpus(documents(spark, d, "text"), "doc_id")))
 
 
 def _top_pair(spark, d):
@@ -285,23 +319,60 @@ def _bpe_encode(spark, d):
 
 
 def _bpe_encode_documents(spark, d):
-    merges = document_merges(spark, d)
-    docs = spread(documents(spark, d, "text"))
+    merges = pair_merges(spark, d)
+    docs = documents(spark, d, "text")
     return docs.select("doc_id", F.size(bpe_encode(F.col("text"), merges)).alias("n_tokens"))
 
 
 def _bpe_decode(spark, d):
-    merges = document_merges(spark, d)
-    docs = spread(documents(spark, d, "text"))
+    merges = pair_merges(spark, d)
+    docs = documents(spark, d, "text")
     ids = bpe_encode(F.col("text"), merges)
     return docs.select("doc_id", bpe_decode(ids, vocabulary_bytes(merges)).alias("text"))
 
 
+def _bpe_decode_520(spark, d):
+    """A vocabulary larger than the default one, with its special tokens, over the documents."""
+    docs = documents(spark, d, "text")
+    merges = train_bpe(text_corpus(docs, "doc_id"), LARGE_VOCABULARY)
+    table_ = vocabulary_bytes(merges, vocab_size=LARGE_VOCABULARY)
+    params = PrepParams(vocab_size=LARGE_VOCABULARY)
+    closed = F.concat(bpe_encode(F.col("text"), merges), F.array(F.lit(params.end_id)))
+    return docs.select("doc_id", bpe_decode(closed, table_).alias("text"))
+
+
+def _decode_stored(spark, d):
+    """Decoding with the vocabulary that a preparation run has stored."""
+    run = fresh_directory(spark)
+    merges = prepare_corpus(spark, stored_pairs(spark, d), run).merges
+    stored = stored_bytes(read_vocabulary(spark, join_path(run, "bpe")))
+    docs = documents(spark, d, "text")
+    return docs.select("doc_id", bpe_decode(bpe_encode(F.col("text"), merges), stored).alias("text"))
+
+
+def _prepare_again(spark, d):
+    """A second run into the same folder reads nothing but what the first one stored."""
+    run, params = fresh_directory(spark), PrepParams()
+    prepare_corpus(spark, stored_pairs(spark, d), run, params)
+    again = prepare_corpus(spark, pairs(spark, d).where(F.lit(False)), run, params)
+    return split_counts(again.splits)
+
+
 def _roundtrip(spark, d):
-    failed = roundtrip_failures(spread(documents(spark, d, "text")), document_merges(spark, d))
+    """Damaged texts come back otherwise; all others come back as they were."""
+    texts = damaged(spark, d).select("pair_id", F.col("src").alias("text"))
+    failed = roundtrip_failures(texts, pair_merges(spark, d))
     return failed.agg(F.count(F.lit(1)).alias("n_failed"))
 
 
+def _malformed_pairs(spark, d):
+    return filter_valid_utf8(damaged(spark, d))
+
+
+def _malformed_report(spark, d):
+    return validity_report(damaged(spark, d))
+
+
 def _token_pairs(spark, d):
     path = join_path(fresh_directory(spark), "token_pairs")
     write_token_pairs(token_pairs(spark, d), path)
@@ -316,7 +387,7 @@ def _token_pairs(spark, d):
 
 def _prepare_corpus(spark, d):
     params = PrepParams(vocab_size=256 + PAIR_MERGES)
-    prepared = prepare_corpus(spark, pairs(spark, d), fresh_directory(spark), params)
+    prepared = prepare_corpus(spark, stored_pairs(spark, d), fresh_directory(spark), params)
     return merges_table(spark, prepared.merges)
 
 
@@ -385,10 +456,21 @@ def _vocab_indexes(spark, d):
     )
 
 
+def _document_indexes(spark, d):
+    """Documents indexed with the characters that they hold themselves."""
+    docs = documents(spark, d, "text")
+    _, to_index = letters.vocab_index(letters.character_vocabulary(docs, "doc_id"))
+    indexed = docs.select("doc_id", letters.index_characters(F.col("text"), to_index).alias("ids"))
+    weighted = F.aggregate(
+        F.transform("ids", lambda x, i: (i + 1).cast("long") * (x + 1)), F.lit(0).cast("long"), lambda a, x: a + x
+    )
+    return indexed.select("doc_id", F.size("ids").alias("n_chars"), weighted.alias("weighted_sum"))
+
+
 def _detokenize(spark, d):
     to_token, to_index = letters.vocab_index(letters.alphabet_table(spark, "eng"))
     ids = letters.index_characters(F.col("text"), to_index)
-    docs = spread(documents(spark, d, "text"))
+    docs = documents(spark, d, "text")
     return docs.select("doc_id", letters.detokenize(ids, to_token).alias("text"))
 
 
@@ -418,17 +500,17 @@ def _validation_report(spark, d):
 
 def _cut_at_end(spark, d):
     generated = token_pairs(spark, d).select(
-        "pair_id", pad_tokens(F.col("tgt_tokens"), start=True, end=True).alias("ids")
+        "pair_id", pad_tokens(F.col("tgt_tokens"), TGT_LIMIT + 2, start=True, end=True).alias("ids")
     )
     return by_token(generated.select("pair_id", cut_at_end(F.col("ids")).alias("ids")), "ids")
 
 
 def _decode_generated(spark, d):
     merges = pair_merges(spark, d)
-    ids = pad_tokens(bpe_encode(F.col("src"), merges), 1000, start=True, end=True)
-    return pairs(spark, d).select(
-        "pair_id", decode_generated(ids, vocabulary_bytes(merges)).alias("text")
-    )
+    encoded = pairs(spark, d).select("pair_id", bpe_encode(F.col("src"), merges).alias("ids"))
+    # Three of padding behind the end of every row, whatever its length.
+    ids = pad_tokens(F.col("ids"), F.size("ids") + 5, start=True, end=True)
+    return encoded.select("pair_id", decode_generated(ids, vocabulary_bytes(merges)).alias("text"))
 
 
 def _metric_rollup(spark, d):
@@ -447,6 +529,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_features": _drop_features,
     "valid_pairs": _valid_pairs,
     "validity_report": _validity_report,
+    "malformed_pairs": _malformed_pairs,
+    "malformed_report": _malformed_report,
     "length_filter": _length_filter,
     "length_filter_default": _length_filter_default,
     "length_report": _length_report,
@@ -454,6 +538,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_hash": _split_hash,
     "split_counts": _split_counts,
     "split_storage": _split_storage,
+    "read_parquet": lambda spark, d: _reread(spark, d, "parquet"),
     "read_json": lambda spark, d: _reread(spark, d, "json"),
     "read_orc": lambda spark, d: _reread(spark, d, "orc"),
     "read_csv": _read_csv,
@@ -475,9 +560,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bpe_encode": _bpe_encode,
     "bpe_encode_documents": _bpe_encode_documents,
     "bpe_decode": _bpe_decode,
+    "bpe_decode_520": _bpe_decode_520,
+    "decode_stored": _decode_stored,
     "roundtrip": _roundtrip,
     "token_pairs": _token_pairs,
     "prepare_corpus": _prepare_corpus,
+    "prepare_again": _prepare_again,
     "padded_train": _padded_train,
     "padded_eval": _padded_eval,
     "valid_length": _valid_length,
@@ -490,6 +578,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alphabet_eng": lambda spark, d: _alphabet_usage(spark, d, "eng"),
     "character_vocabulary": _character_vocabulary,
     "vocab_index": _vocab_indexes,
+    "document_indexes": _document_indexes,
     "detokenize": _detokenize,
     "token_ce": _token_ce,
     "argmax": _argmax,

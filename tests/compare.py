@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -67,6 +68,7 @@ def main() -> int:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="twintext-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

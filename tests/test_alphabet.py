@@ -55,3 +55,14 @@ def test_character_vocabulary(spark):
     texts = [(2, "xéb"), (1, "abca"), (3, "")]
     rows = character_vocabulary(spark.createDataFrame(texts, "id long, text string"), "id").collect()
     assert {r["idx"]: r["token"] for r in rows} == dict(enumerate("abcxé"))
+
+
+def test_a_character_far_up_is_indexed_quickly(spark):
+    import time
+
+    to_index = {"a": 0, "\U0001f600": 1, "<UNK>": 2}
+    started = time.time()
+    column = index_characters(F.col("text"), to_index)
+    assert time.time() - started < 1
+    df = spark.createDataFrame([("a\U0001f600b\u0d05",)], "text string")
+    assert df.select(column.alias("ids")).first()["ids"] == [0, 1, 2, 2]

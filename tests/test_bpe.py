@@ -228,3 +228,15 @@ def test_certain_merges_rules():
     assert taken([(1, 2, 9), (3, 4, 8)], ordered=False, complete=False) == [(1, 2)]
     assert taken([(1, 2, 9), (3, 4, 9)], ordered=False) == []
     assert taken([(1, 2, 9), (3, 4, 8)], limit=1) == [(1, 2)]
+
+
+def test_special_ids_follow_the_vocabulary(spark):
+    from twintext.params import PrepParams
+
+    merges = [Merge(97, 98, 256 + k) for k in range(300)]
+    with pytest.raises(ValueError, match="learned"):
+        vocabulary_bytes(merges)
+    table = vocabulary_bytes(merges, vocab_size=600)
+    params = PrepParams(vocab_size=600)
+    assert [table[i] for i in (params.start_id, params.pad_id, params.end_id)] == [b"<START>", b"<PAD>", b"<END>"]
+    assert PrepParams().cap("train") is None

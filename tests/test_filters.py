@@ -78,3 +78,19 @@ def test_turn_pairs(spark):
     ]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert sorted(tuple(r) for r in turn_pairs(turns).collect()) == [(1001, "q1", "a1"), (2001, "q4", "a4")]
+
+
+def test_turn_pairs_with_gaps_and_many_turns(spark):
+    rows = [
+        (1, 0, "user", "q"), (1, 5, "assistant", "a"), (1, 9, "user", "q"), (1, 1000, "user", "q2"),
+        (1, 1001, "assistant", "a2"), (2, 0, "user", "q3"), (2, 7, "assistant", "a3"),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = sorted(tuple(r) for r in turn_pairs(turns).collect())
+    assert found == [(10000, "q", "a"), (11000, "q2", "a2"), (20000, "q3", "a3")]
+
+
+def test_negative_turns_are_refused(spark):
+    turns = spark.createDataFrame([(1, -1, "user", "q")], "conv_id long, turn long, role string, text string")
+    with pytest.raises(ValueError, match="negative"):
+        turn_pairs(turns)

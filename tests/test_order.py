@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from twintext.functions.text import numeric_key, numeric_key_value, order_key
 from twintext.operators import order
-from twintext.operators.batches import assign_batches, preview_batches, sample_every_k, shuffle_epoch
+from twintext.operators.batches import assign_batches, first_batches, preview_batches, sample_every_k, shuffle_epoch
 from twintext.operators.order import keys_at_ranks, with_ordinal
 from twintext.operators.splits import (
     random_split_exact,
@@ -170,3 +170,11 @@ def test_samples_of_batches(spark):
     batches = spark.createDataFrame([(i,) for i in range(12)], "batch_id long")
     assert [r[0] for r in sample_every_k(batches, 5).collect()] == [0, 5, 10]
     assert [r[0] for r in preview_batches(batches, 3).collect()] == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("rows, shown", [(1000, 3), (200, 3), (130, 2), (10, 0)])
+def test_first_batches_equal_the_whole_order(spark, rows, shown):
+    df = ids(spark, range(rows))
+    whole = {tuple(r) for r in preview_batches(assign_batches(df, 1), 2).collect()}
+    assert {tuple(r) for r in first_batches(df, 2, 1).collect()} == whole
+    assert len({r[1] for r in whole}) == shown

@@ -112,3 +112,13 @@ def test_metric_rollup(spark):
     out = {(r["tag"], r["epoch"]): tuple(r)[2:] for r in metric_rollup(df, 10).collect()}
     assert out == {("a", 0): (1.5, 2, 0, 3), ("a", 1): (9.0, 1, 12, 12), ("b", 1): (4.0, 1, 11, 11)}
     assert spark.range(1).select(global_step(F.lit(2), F.lit(5), 100).alias("s")).first()["s"] == 205
+
+
+def test_best_so_far_keeps_null_keys_and_reads_once(spark, tmp_path):
+    rows = [("a", 1, 2.0), (None, 1, 3.0), (None, 2, 1.0), ("a", None, 5.0)]
+    path = str(tmp_path / "log")
+    spark.createDataFrame(rows, "tag string, epoch long, loss double").write.parquet(path)
+    best = best_so_far(spark.read.parquet(path), ("tag",))
+    found = {(r["tag"], r["epoch"]): r["is_best"] for r in best.collect()}
+    assert found == {("a", 1): True, (None, 1): True, (None, 2): True, ("a", None): True}
+    assert best._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1

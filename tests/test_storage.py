@@ -139,6 +139,8 @@ def test_preparation_end_to_end(spark, tmp_path):
     texts = {(r["pair_id"], s): r[c] for r in train for s, c in enumerate(("src", "tgt"))}
     assert [tuple(m) for m in prepared.merges] == brute.train(texts, 14)[0]
 
+    with pytest.raises(ValueError, match="other parameters"):
+        prepare_corpus(spark, some_pairs(spark, 3), directory, PrepParams(vocab_size=280))
     again = prepare_corpus(spark, some_pairs(spark, 3), directory, params)
     assert again.merges == prepared.merges
     assert again.splits.count() == 40

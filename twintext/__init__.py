@@ -1,5 +1,5 @@
 """Parallel-text preparation and scoring on Spark DataFrames."""
 
-from twintext.params import SPECIAL_TOKENS, SPLITS, PrepParams
+from twintext.params import SPLITS, PrepParams, special_tokens
 
-__all__ = ["PrepParams", "SPECIAL_TOKENS", "SPLITS"]
+__all__ = ["PrepParams", "special_tokens", "SPLITS"]

@@ -12,7 +12,7 @@ _DEFAULTS = PrepParams()
 
 def pad_tokens(
     tokens: Column,
-    length: int = _DEFAULTS.max_length,
+    length: int | Column = _DEFAULTS.max_length,
     start: bool = False,
     end: bool = False,
     params: PrepParams = _DEFAULTS,
@@ -24,9 +24,10 @@ def pad_tokens(
     parts.append(tokens)
     if end:
         parts.append(F.array(F.lit(params.end_id)))
-    missing = F.greatest(F.lit(length) - F.size(tokens), F.lit(0))
+    length = F.lit(length) if isinstance(length, int) else length
+    missing = F.greatest(length - F.size(tokens), F.lit(0))
     parts.append(F.array_repeat(F.lit(params.pad_id), missing))
-    return F.slice(F.concat(*parts), 1, length)
+    return F.slice(F.concat(*parts), F.lit(1), length)
 
 
 def end_is_cut(tokens: Column, length: int = _DEFAULTS.max_length) -> Column:

@@ -48,6 +48,49 @@ def text_reader(vocab_size: int) -> Callable:
     return read
 
 
+ID_BYTES = 4  # of a token in a column of ids
+
+
+def id_reader(vocab_size: int) -> Callable:
+    """Binary column of little-endian token ids to tokens."""
+    width = ID_BYTES
+
+    def read(column):
+        wide = "<i8" if "large" in str(column.type) else "<i4"
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, wide)[column.offset : column.offset + len(column) + 1]
+        lengths = np.diff(ends) // width
+        size = int(lengths.sum())
+        tokens = np.full(size + len(column), vocab_size, "int32")
+        if size:
+            place = np.arange(size) + np.repeat(np.arange(len(column)), lengths)
+            tokens[place] = np.frombuffer(memoryview(data)[ends[0] : ends[-1]], "<i4")
+        return tokens
+
+    return read
+
+
+def id_writer(vocab_size: int) -> Callable:
+    """Tokens to a binary column of little-endian ids."""
+    width = ID_BYTES
+
+    def write(tokens):
+        closing = tokens == vocab_size
+        ends = (np.flatnonzero(closing) - np.arange(int(closing.sum()))) * width
+        offsets = np.append(0, ends).astype("<i4")
+        data = tokens[~closing].astype("<i4").tobytes()
+        return pa.BinaryArray.from_buffers(
+            pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]
+        )
+
+    return write
+
+
+def reader_of(column: str, vocab_size: int) -> Callable:
+    """The reader for a corpus column: ``text``, token string ``seq`` or binary ``ids``."""
+    return {"text": text_reader, "seq": sequence_reader, "ids": id_reader}[column](vocab_size)
+
+
 def sequence_reader(vocab_size: int) -> Callable:
     """Column of token strings to tokens."""
     surrogates = vocab_size >= 0xD800

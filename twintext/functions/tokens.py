@@ -8,6 +8,8 @@ right without overlaps and never leaves the JVM.
 
 from __future__ import annotations
 
+import json
+
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
@@ -17,7 +19,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from twintext.functions.kernels import (
+    id_writer,
     merger,
+    reader_of,
     sequence_reader,
     sequence_writer,
     slicer,
@@ -115,6 +119,18 @@ def bpe_encode(text: Column, merges: Sequence[Merge]) -> Column:
     return F.arrow_udf(encode, "array<int>")(text)
 
 
+def merge_to_ids(rows: Column, merges: Sequence[Merge], vocab_size: int, column: str) -> Column:
+    """Binary token ids after the given merges, on Arrow batches of a corpus column."""
+    pieces, read = slicer(), reader_of(column, vocab_size)
+    merge, write = merger(merges, vocab_size), id_writer(vocab_size)
+
+    def run(values: pa.Array) -> pa.Array:
+        parts = [write(merge(read(p))) for p in pieces(values, values.nbytes)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+    return F.arrow_udf(run, "binary")(rows)
+
+
 def merge_sequences(seq: Column, merges: Sequence[Merge], vocab_size: int) -> Column:
     """Token string after the given merges, on Arrow batches."""
     pieces, read = slicer(), sequence_reader(vocab_size)
@@ -135,12 +151,19 @@ def expand_merges(merges: Iterable[Merge]) -> dict[int, bytes]:
     return table
 
 
+def int_array(values: Sequence[int]) -> Column:
+    """A constant ``array<int>``, handed over as one string that is parsed while planning."""
+    if not values:
+        return F.array().cast("array<int>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
 def lookup(table: dict[int, str], index: Column, default: Column) -> Column:
     """``table[index]`` through a dense literal array, else ``default``."""
-    dense = F.lit([table.get(i, "") for i in range(max(table) + 1)])
-    known = F.lit([i in table for i in range(max(table) + 1)])
-    inside = (index >= 0) & F.coalesce(F.get(known, index), F.lit(False))
-    return F.when(inside, F.get(dense, index)).otherwise(default)
+    cells = json.dumps([table.get(i) for i in range(max(table, default=-1) + 1)])
+    # One string that is parsed while planning; null where the table has no entry.
+    dense = F.from_json(F.lit(cells), "array<string>")
+    return F.coalesce(F.when(index >= 0, F.get(dense, index)), default)
 
 
 def bpe_decode(tokens: Column, vocabulary: dict[int, bytes]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from twintext.functions.tokens import lookup
+from twintext.functions.tokens import int_array, lookup
 from twintext.params import END_TOKEN, PADDING_TOKEN, START_TOKEN, UNKNOWN_TOKEN
 
 # The characters of each alphabet, in index order.
@@ -26,6 +26,7 @@ MALAYALAM = (
     "\u200b\u200c\u200d"
 )
 _CODE_POINTS = 1_114_112
+_PAGE = 256
 
 ALPHABETS = {"ml": MALAYALAM, "eng": ENGLISH}
 
@@ -45,8 +46,13 @@ def alphabet_table(spark: SparkSession, language: str, kind: str = "letter") ->
 
 
 def vocab_index(vocabulary: DataFrame) -> tuple[dict[int, str], dict[str, int]]:
-    """Both directions of a vocabulary table: index to token, token to index."""
-    rows = vocabulary.select("idx", "token").collect()
+    """Both directions of a vocabulary table: index to token, token to index.
+
+    A table with more rows than there are characters is refused.
+    """
+    rows = vocabulary.select("idx", "token").limit(_CODE_POINTS + 1).collect()
+    if len(rows) > _CODE_POINTS:
+        raise ValueError("not a character vocabulary: too many rows")
     return {r["idx"]: r["token"] for r in rows}, {r["token"]: r["idx"] for r in rows}
 
 
@@ -83,17 +89,26 @@ def character_vocabulary(df: DataFrame, row_id: str, text: str = "text") -> Data
 def index_characters(text: Column, token_to_index: dict[str, int]) -> Column:
     """``array<int>`` of vocabulary indexes of the characters of ``text``.
 
-    Characters outside the vocabulary get the index of the unknown token. The
-    lookup goes through an array over code points, so its cost does not depend
-    on the size of the alphabet.
+    Characters outside the vocabulary get the index of the unknown token, or -1
+    if it has none. The lookup goes through a table of pages of 256 code points,
+    of which only those with a known character exist, so its cost does not
+    depend on the size of the alphabet.
     """
+    unknown = token_to_index.get(UNKNOWN_TOKEN, -1)
     by_point = {ord(t): i for t, i in token_to_index.items() if len(t) == 1}
-    unknown = token_to_index[UNKNOWN_TOKEN]
-    dense = F.lit([by_point.get(p, unknown) for p in range(max(by_point) + 1)])
-    return F.transform(
-        F.array_remove(F.split(text, ""), ""),
-        lambda c: F.coalesce(F.get(dense, F.ascii(c)), F.lit(unknown)),
-    )
+    numbers = sorted({p // _PAGE for p in by_point})
+    place = {number: k for k, number in enumerate(numbers)}
+    starts = [place.get(n, -1) * _PAGE for n in range(max(numbers, default=-1) + 1)]
+    cells = [by_point.get(n * _PAGE + k, unknown) for n in numbers for k in range(_PAGE)]
+    starts_of, cells_of = int_array(starts), int_array(cells)
+
+    def index(char: Column) -> Column:
+        point = F.ascii(char)
+        start = F.get(starts_of, (point / _PAGE).cast("int"))
+        known = F.get(cells_of, start + point % _PAGE)
+        return F.coalesce(F.when(start >= 0, known), F.lit(unknown))
+
+    return F.transform(F.array_remove(F.split(text, ""), ""), index)
 
 
 def detokenize(indexes: Column, index_to_token: dict[int, str]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twintext.functions.text import order_key
-from twintext.operators.order import with_ordinal
+from twintext.operators.order import keys_at_ranks, with_ordinal
 from twintext.params import PrepParams
 
 _DEFAULTS = PrepParams()
@@ -52,5 +52,23 @@ def sample_every_k(batches: DataFrame, k: int = _DEFAULTS.log_every) -> DataFram
 
 
 def preview_batches(batches: DataFrame, n: int = 5) -> DataFrame:
-    """Batches 0 to n, the last one included."""
+    """Batches 0 to n, the last one included, of a table that is in batches already."""
     return batches.where(F.col("batch_id") <= n)
+
+
+def first_batches(
+    df: DataFrame, n: int = 5, epoch: int = 0, row_id: str = "pair_id", params: PrepParams = _DEFAULTS
+) -> DataFrame:
+    """Batches 0 to n of an epoch, the last one included; a short last batch is dropped.
+
+    The last place shown is looked up first, so that only the rows shown are
+    put in order.
+    """
+    key = order_key(F.col(row_id), params.seed, epoch)
+
+    def last(total: int) -> list[int]:
+        return [min((n + 1) * params.batch_size, total - total % params.batch_size)]
+
+    _, (cut,) = keys_at_ranks(df, key, last)
+    shown = df.where(F.lit(False) if cut is None else key <= cut)
+    return assign_batches(shown, epoch, row_id, params)

@@ -13,13 +13,13 @@ from twintext.functions.tokens import (
     bpe_decode,
     bpe_encode,
     expand_merges,
-    merge_sequences,
+    merge_to_ids,
     replace_pairs,
 )
-from twintext.operators.corpus import byte_tokens, collapse_equal
+from twintext.operators.corpus import collapse_equal
 from twintext.operators.merge_order import PairCount, certain_merges
-from twintext.operators.pair_counts import count_adjacent_pairs, keyed_pair_counts
-from twintext.params import BYTE_TOKENS, SPECIAL_TOKENS, PrepParams
+from twintext.operators.pair_counts import corpus_column, count_adjacent_pairs, keyed_pair_counts
+from twintext.params import BYTE_TOKENS, PrepParams, special_tokens
 from twintext.sources.storage import Snapshots
 
 _DEFAULTS = PrepParams()
@@ -45,25 +45,28 @@ def apply_merge(corpus: DataFrame, merge: Merge) -> DataFrame:
 def train_bpe(
     corpus: DataFrame,
     vocab_size: int = _DEFAULTS.vocab_size,
-    collapse: bool = True,
+    collapse: bool = False,
     rewrite_share: float = _REWRITE_SHARE,
 ) -> list[Merge]:
     """Learn up to ``vocab_size - 256`` merges from ``(ord, side, text)`` rows.
 
     Every pass over the corpus counts pairs and returns the leading ones; all
     merges that follow from these counts are taken at once. Merges since the
-    last rewrite of the corpus are applied on the fly; the corpus is rewritten
-    when that has become worth it. Training ends early when no row has a pair
-    left.
+    last rewrite of the corpus are applied on the fly. The first passes read the
+    texts as they are, so ``corpus`` should be a stored table; it is rewritten,
+    as token ids, whenever merges have removed ``rewrite_share`` of its pairs.
+    ``collapse`` combines equal texts first, at the cost of a shuffle of all
+    texts. Training ends early when no row has a pair left.
     """
     wanted = vocab_size - BYTE_TOKENS
     merges: list[Merge] = []
     if wanted <= 0:
         return merges
-    rows = byte_tokens(collapse_equal(corpus) if collapse else corpus)
     snapshots = Snapshots(corpus.sparkSession)
     try:
-        stored, pending = snapshots.write(rows), []
+        # Equal texts are combined once, not in every pass.
+        stored = snapshots.write(collapse_equal(corpus)) if collapse else corpus
+        pending: list[Merge] = []
         stored_pairs, by_place, watched = None, False, []
         while len(merges) < wanted:
             size = BYTE_TOKENS + len(merges)
@@ -97,7 +100,11 @@ def train_bpe(
 
 def _merged(corpus: DataFrame, merges: Sequence[Merge]) -> DataFrame:
     vocab_size = 1 + max(m.token for m in merges)
-    return corpus.withColumn("seq", merge_sequences(F.col("seq"), merges, vocab_size))
+    column = corpus_column(corpus)
+    merged = merge_to_ids(F.col(column), merges, vocab_size, column)
+    return corpus.withColumn("ids", merged).select(
+        *[c for c in corpus.columns if c != column and c != "ids"], "ids"
+    )
 
 
 class _Counts(NamedTuple):
@@ -138,29 +145,50 @@ def merges_table(spark: SparkSession, merges: Sequence[Merge]) -> DataFrame:
     return spark.createDataFrame(rows, MERGES_SCHEMA)
 
 
-def special_token_rows(spark: SparkSession) -> DataFrame:
+def _special_ids(merges: Sequence[Merge], vocab_size: int) -> dict[str, int]:
+    """Ids of the special tokens, refused where learned tokens reach them."""
+    last = max((m.token for m in merges), default=BYTE_TOKENS - 1)
+    if last >= vocab_size:
+        raise ValueError(f"token {last} is learned, but the special tokens begin at {vocab_size}")
+    return special_tokens(vocab_size)
+
+
+def special_token_rows(spark: SparkSession, vocab_size: int = _DEFAULTS.vocab_size) -> DataFrame:
     """The special tokens in the shape of the vocabulary table."""
-    rows = [(i, bytearray(name, "utf-8"), True) for name, i in SPECIAL_TOKENS.items()]
+    rows = [(i, bytearray(name, "utf-8"), True) for name, i in special_tokens(vocab_size).items()]
     return spark.createDataFrame(rows, VOCABULARY_SCHEMA)
 
 
 def expand_vocab(
-    spark: SparkSession, merges: Sequence[Merge], special: bool = False
+    spark: SparkSession,
+    merges: Sequence[Merge],
+    special: bool = False,
+    vocab_size: int = _DEFAULTS.vocab_size,
 ) -> DataFrame:
     """Vocabulary as ``(token, bytes, is_special)``."""
     rows = [(t, bytearray(b), False) for t, b in expand_merges(merges).items()]
     table = spark.createDataFrame(rows, VOCABULARY_SCHEMA)
-    return table.union(special_token_rows(spark)) if special else table
+    if not special:
+        return table
+    _special_ids(merges, vocab_size)
+    return table.union(special_token_rows(spark, vocab_size))
 
 
-def vocabulary_bytes(merges: Sequence[Merge], special: bool = True) -> dict[int, bytes]:
+def vocabulary_bytes(
+    merges: Sequence[Merge], special: bool = True, vocab_size: int = _DEFAULTS.vocab_size
+) -> dict[int, bytes]:
     """Bytes per token for decoding; special tokens print as their names."""
     table = expand_merges(merges)
     if special:
-        table.update({i: name.encode() for name, i in SPECIAL_TOKENS.items()})
+        table.update({i: name.encode() for name, i in _special_ids(merges, vocab_size).items()})
     return table
 
 
+def stored_bytes(vocabulary: DataFrame) -> dict[int, bytes]:
+    """A vocabulary table as :func:`bpe_decode` takes it; one row per token."""
+    return {r["token"]: bytes(r["bytes"]) for r in vocabulary.select("token", "bytes").collect()}
+
+
 def roundtrip_failures(df: DataFrame, merges: Sequence[Merge], text: str = "text") -> DataFrame:
     """Rows whose text does not come back from encoding and decoding."""
     back = bpe_decode(bpe_encode(F.col(text), merges), vocabulary_bytes(merges, special=False))

@@ -11,7 +11,6 @@ from twintext.functions.scoring import argmax_token, global_step, token_cross_en
 from twintext.params import PrepParams
 
 _DEFAULTS = PrepParams()
-_EPOCHS_PER_BLOCK = 1024
 
 
 def score_tokens(
@@ -84,32 +83,11 @@ def best_so_far(
 ) -> DataFrame:
     """Add ``is_best``: the loss is strictly below that of every earlier epoch.
 
-    The running minimum is taken in two levels, over blocks of epochs and
-    inside a block, so that one long run is not a single window group.
+    A running minimum over the epochs of a run, streamed in order: the rows are
+    aggregates already, one per epoch. A null key is a run of its own, a null
+    epoch comes first. Nothing is read or computed twice.
     """
-    keys = list(keys)
-    block = F.floor(F.col(epoch) / F.lit(_EPOCHS_PER_BLOCK))
-    blocked = epochs.withColumn("__block", block)
-    earlier_blocks = Window.partitionBy(*keys).orderBy("__block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    floors = (
-        blocked.groupBy(*keys, "__block")
-        .agg(F.min(loss).alias("__low"))
-        .select(*keys, "__block", F.min("__low").over(earlier_blocks).alias("__before"))
-    )
-    earlier = (
-        Window.partitionBy(*keys, "__block")
-        .orderBy(epoch)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        blocked.withColumn("__within", F.min(loss).over(earlier))
-        .join(floors, [*keys, "__block"])
-        # least() skips nulls and ranks NaN last, so an infinite start is implied.
-        .withColumn(
-            "is_best",
-            F.col(loss) < F.least(F.col("__within"), F.col("__before"), F.lit(float("inf"))),
-        )
-        .drop("__block", "__within", "__before")
-    )
+    earlier = Window.partitionBy(*keys).orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
+    # least() skips nulls and ranks NaN last, so an infinite start is implied.
+    before = F.least(F.min(loss).over(earlier), F.lit(float("inf")))
+    return epochs.withColumn("is_best", F.col(loss) < before)

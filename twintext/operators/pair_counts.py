@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twintext.functions.kernels import DENSE_LIMIT, merger, pair_index, sequence_reader, slicer
+from twintext.functions.kernels import DENSE_LIMIT, merger, pair_index, reader_of, slicer
 from twintext.functions.tokens import Merge, token_array
 from twintext.params import BYTE_TOKENS
 
@@ -69,6 +69,11 @@ def count_adjacent_pairs(
     )
 
 
+def corpus_column(corpus: DataFrame) -> str:
+    """The column that holds the rows' tokens: ids, token strings, or the text itself."""
+    return next(c for c in ("ids", "seq", "text") if c in corpus.columns)
+
+
 def keyed_pair_counts(
     corpus: DataFrame,
     vocab_size: int,
@@ -82,12 +87,13 @@ def keyed_pair_counts(
     counts the places where the j-th one starts at the second token of the i-th.
     """
     weight = F.col("weight") if "weight" in corpus.columns else F.lit(1)
-    rows = [F.col("seq"), weight.cast("long").alias("weight")]
+    column = corpus_column(corpus)
+    rows = [F.col(column), weight.cast("long").alias("weight")]
     schema = "pair long, n long"
     if with_first:
         rows += [F.col("ord").cast("long").alias("ord"), F.col("side").cast("int").alias("side")]
         schema += ", ord long, side int, pos int"
-    counter = _counter(vocab_size, with_first, merges, watched)
+    counter = _counter(vocab_size, with_first, merges, watched, column)
     measures = [F.sum("n").alias("n")]
     if with_first:
         measures.append(F.min(F.struct("ord", "side", "pos")).alias("first"))
@@ -99,11 +105,12 @@ def _counter(
     with_first: bool,
     merges: Sequence[Merge],
     watched: Sequence[tuple[int, int]],
+    column: str,
 ) -> Callable:
     """Arrow batches of rows to partial counts."""
     base = vocab_size + 1
     dense = vocab_size <= DENSE_LIMIT
-    pieces, read, merge = slicer(), sequence_reader(vocab_size), merger(merges, vocab_size)
+    pieces, read, merge = slicer(), reader_of(column, vocab_size), merger(merges, vocab_size)
     n_watched, watch_of = len(watched), pair_index(watched, vocab_size)
 
     def overlaps(pairs, spread):
@@ -171,7 +178,7 @@ def _counter(
                 spread = None if (weights == 1).all() else np.repeat(weights, lengths)[:-1]
                 if n_watched:
                     shared += overlaps(pairs, spread).astype("int64")
-                if not dense:
+                if not dense:  # a vocabulary too large for a table: one count per pair and piece
                     keys, n, at = tally(pairs, spread)
                     yield batch_of(keys, n, places_of(rows, at, ends, lengths) if with_first else ())
                     continue

@@ -14,7 +14,7 @@ from twintext.operators.order import keys_at_ranks
 from twintext.params import SPLITS, PrepParams
 
 _DEFAULTS = PrepParams()
-_SHARE_STEPS = 1_000_000
+_KEY_DIGITS = 32  # of an order key
 
 
 def _exact(share: float) -> Fraction:
@@ -58,16 +58,22 @@ def _upto(key: Column, cut: str | None) -> Column:
 def random_split_hash(
     df: DataFrame, row_id: str = "pair_id", params: PrepParams = _DEFAULTS, split: str = "split"
 ) -> DataFrame:
-    """Add ``split`` by hash range: one pass, sizes approximate, and a row keeps
+    """Add ``split`` by the range of a hash: one pass, sizes approximate, and a row keeps
     its split when other rows are added."""
-    draw = F.pmod(F.xxhash64(F.col(row_id), F.lit(params.seed)), F.lit(_SHARE_STEPS))
-    test = int(_exact(params.test_ratio) * _SHARE_STEPS)
-    held = int((_exact(params.test_ratio) + _exact(params.val_ratio)) * _SHARE_STEPS)
+    key = order_key(F.col(row_id), params.seed)
+    test = _exact(params.test_ratio)
+    held = test + _exact(params.val_ratio)
     return df.withColumn(
-        split, F.when(draw < test, "test").when(draw < held, "val").otherwise("train")
+        split, F.when(_below(key, test), "test").when(_below(key, held), "val").otherwise("train")
     )
 
 
+def _below(key: Column, share: Fraction) -> Column:
+    """Whether a key lies in the first ``share`` of all keys."""
+    cut = int(share * 16**_KEY_DIGITS)
+    return F.lit(True) if share >= 1 else key < f"{cut:0{_KEY_DIGITS}x}"
+
+
 def take_first_n(df: DataFrame, n: int, row_id: str = "pair_id", key: Column | None = None) -> DataFrame:
     """The first ``n`` rows by id, or by ``key``; all rows if there are fewer.
 
@@ -90,16 +96,19 @@ def take_first_n_per_split(
 ) -> DataFrame:
     """Cap every split at its size limit, in the seeded order of the split.
 
-    One count settles the splits that are within their limit; only the others
+    A split without a limit is kept whole; without any, nothing is counted. One count settles the splits that are within their limit; only the others
     need their cut key looked up.
     """
+    if all(params.cap(name) is None for name in SPLITS):
+        return df
     key = order_key(F.col(row_id), params.seed)
     sizes = {r[split]: r["n_rows"] for r in split_counts(df, split).collect()}
     kept = F.lit(False)
     for name in SPLITS:
         here = F.col(split) == name
-        if sizes.get(name, 0) > params.cap(name):
-            _, (cut,) = keys_at_ranks(df.where(here), key, lambda total, n=params.cap(name): [n])
+        cap = params.cap(name)
+        if cap is not None and sizes.get(name, 0) > cap:
+            _, (cut,) = keys_at_ranks(df.where(here), key, lambda total, n=cap: [n])
             here = here & _upto(key, cut)
         kept = kept | here
     return df.where(kept)

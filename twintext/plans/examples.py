@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from twintext.functions.examples import (
@@ -19,10 +20,10 @@ from twintext.functions.examples import (
 )
 from twintext.functions.tokens import Merge, bpe_encode
 from twintext.operators.batches import assign_batches
-from twintext.operators.filters import filter_length, split_counts
+from twintext.operators.filters import filter_length, pair_fits, split_counts
 from twintext.operators.splits import take_first_n_per_split
 from twintext.params import PrepParams
-from twintext.sources.storage import materialize_once
+from twintext.sources.storage import is_complete, materialize_once
 
 log = logging.getLogger(__name__)
 
@@ -44,12 +45,18 @@ def build_token_pairs(
     merges: Sequence[Merge],
     params: PrepParams = _DEFAULTS,
     tgt_limit: int | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Cap every split, drop long pairs, encode the rest.
+    """Cap every split if asked to, drop long pairs, encode the rest.
 
     The length test reads text only, so it comes before the costly encoding.
+    ``seen`` counts, in the same pass, the ``exceeded`` pairs of ``total``.
     """
     capped = take_first_n_per_split(splits, "pair_id", params)
+    if seen is not None:
+        fits = pair_fits(F.col("src"), F.col("tgt"), params.max_length, tgt_limit)
+        counts = F.count_if(~fits).alias("exceeded"), F.count(F.lit(1)).alias("total")
+        capped = capped.observe(seen, *counts)
     return encode_pairs(filter_length(capped, params.max_length, tgt_limit), merges)
 
 
@@ -61,9 +68,17 @@ def token_pairs_once(
     params: PrepParams = _DEFAULTS,
 ) -> DataFrame:
     """The token-pair table at ``path``, computed first if it is missing."""
+    seen = Observation()
+    fresh = not is_complete(spark, path)
     stored = materialize_once(
-        spark, path, lambda: build_token_pairs(splits, merges, params), partition_by=("split",)
+        spark,
+        path,
+        lambda: build_token_pairs(splits, merges, params, seen=seen),
+        partition_by=("split",),
+        made_with={"params": asdict(params), "merges": [list(m) for m in merges]},
     )
+    if fresh:
+        log.info("%d of %d pairs are too long", seen.get["exceeded"], seen.get["total"])
     for row in split_counts(stored).collect():
         log.info("%s token pairs: %d", row["split"], row["n_rows"])
     return stored
@@ -119,9 +134,14 @@ def example_lengths(examples: DataFrame, params: PrepParams = _DEFAULTS) -> Data
 
 
 def cut_ends(token_pairs: DataFrame, params: PrepParams = _DEFAULTS) -> DataFrame:
-    """One row: how many targets lose their end token to the length limit."""
+    """One row: how many sources are cut at the length limit, and targets with their end token."""
     cut = end_is_cut(F.col("tgt_tokens"), params.max_length)
-    return token_pairs.agg(F.count_if(cut).alias("n_cut"), F.count(F.lit(1)).alias("total"))
+    source_cut = F.size("src_tokens") > params.max_length
+    return token_pairs.agg(
+        F.count_if(cut).alias("n_cut"),
+        F.count_if(source_cut).alias("n_src_cut"),
+        F.count(F.lit(1)).alias("total"),
+    )
 
 
 def epoch_batches(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from twintext.params import SPLITS
@@ -40,19 +40,27 @@ def read_pairs(
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:
-    """Pairs of a user turn and the assistant turn that follows it.
+    """Pairs of a user turn and the turn that comes next, if it is the assistant's.
 
-    An equi-join on (conversation, turn number) spreads a long conversation
-    over all tasks, which a window per conversation would not.
+    Turn numbers may have gaps. ``pair_id`` is the conversation's id times a
+    stride plus the turn; the stride is the power of ten above the largest turn,
+    1000 at least, so ids never meet. Negative turn numbers are refused.
     """
-    user = conversations.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("src")
+    low, high = conversations.agg(F.min("turn"), F.max("turn")).first()
+    if low is not None and low < 0:
+        raise ValueError("turn numbers must not be negative")
+    stride = 10 ** max(3, len(str(high or 0)))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    following = conversations.select(
+        "conv_id",
+        "turn",
+        "role",
+        F.col("text").alias("src"),
+        F.lead("role").over(order).alias("next_role"),
+        F.lead("text").over(order).alias("tgt"),
     )
-    reply = conversations.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt")
-    )
-    return user.join(reply, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), "src", "tgt"
+    return following.where("role = 'user' AND next_role = 'assistant'").select(
+        (F.col("conv_id") * stride + F.col("turn")).alias("pair_id"), "src", "tgt"
     )
 
 
@@ -62,10 +70,14 @@ def write_splits(pairs: DataFrame, path: str, split: str = "split") -> None:
 
 
 def write_splits_once(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], split: str = "split"
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    split: str = "split",
+    made_with: dict | None = None,
 ) -> DataFrame:
     """The split table at ``path``, computed first if it is missing."""
-    return materialize_once(spark, path, build, partition_by=(split,))
+    return materialize_once(spark, path, build, partition_by=(split,), made_with=made_with)
 
 
 def read_split(spark: SparkSession, path: str, name: str, split: str = "split") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
@@ -43,16 +44,45 @@ def materialize_once(
     path: str,
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
+    made_with: dict | None = None,
 ) -> DataFrame:
     """Read the table at ``path``, computing it first unless it is complete.
 
     A directory without its success mark is a broken write and is replaced.
+    ``made_with``, what the table depends on, is kept next to it; a complete
+    table that was made with something else is refused.
     """
-    if not is_complete(spark, path):
+    if is_complete(spark, path):
+        check_made_with(spark, path, made_with)
+    else:
         build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        note_made_with(spark, path, made_with)
     return spark.read.parquet(path)
 
 
+def _note_path(path: str) -> str:
+    return path.rstrip("/") + "-made-with.json"
+
+
+def note_made_with(spark: SparkSession, path: str, made_with: dict | None) -> None:
+    """Keep what a table depends on next to it."""
+    if made_with is not None:
+        fs, target = _hadoop(spark, _note_path(path))
+        stream = fs.create(target, True)
+        stream.write(json.dumps(made_with, sort_keys=True).encode())
+        stream.close()
+
+
+def check_made_with(spark: SparkSession, path: str, made_with: dict | None) -> None:
+    """Refuse a table that was made with something else."""
+    fs, target = _hadoop(spark, _note_path(path))
+    if made_with is None or not fs.exists(target):
+        return
+    stored = spark.read.text(_note_path(path), wholetext=True).first()[0]
+    if stored != json.dumps(made_with, sort_keys=True):
+        raise ValueError(f"{path} was made with other parameters; use another folder")
+
+
 def shared_directory(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``.
 

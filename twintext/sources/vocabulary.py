@@ -14,6 +14,7 @@ from twintext.operators.bpe import (
     merges_table,
     special_token_rows,
 )
+from twintext.params import PrepParams
 from twintext.sources.storage import is_complete, join_path
 
 
@@ -36,7 +37,9 @@ def read_merges(spark: SparkSession, path: str) -> list[Merge]:
     return [Merge(r["left"], r["right"], r["token"]) for r in rows]
 
 
-def read_vocabulary(spark: SparkSession, path: str, special: bool = True) -> DataFrame:
+def read_vocabulary(
+    spark: SparkSession, path: str, special: bool = True, vocab_size: int = PrepParams().vocab_size
+) -> DataFrame:
     """Token bytes, by default with the special tokens added."""
     table = spark.read.schema(VOCABULARY_SCHEMA).parquet(join_path(path, "vocabulary"))
-    return table.union(special_token_rows(spark)) if special else table
+    return table.union(special_token_rows(spark, vocab_size)) if special else table
