@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twintext.llm.common import fresh, let
+from twintext.llm.common import Scratch, fresh, let
 
 _SPACE = " \t\n\v\f\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -100,7 +100,8 @@ def keep_bitmaps(
     if keep not in (FIRST, LARGEST_DOCUMENT):
         raise ValueError(f"unknown rule {keep!r}")
     lines = _lines(docs, doc_id, text, min_chars)
-    repeated = _repeated(lines, min_docs)
+    # Written, so that the join can split the lines of a hash that many documents share.
+    repeated = Scratch(docs.sparkSession, "line-dedup").write(_repeated(lines, min_docs), "repeated")
     if keep == FIRST:
         stays = F.struct("doc", "row", "pos").eqNullSafe(F.col("first"))
     else:
