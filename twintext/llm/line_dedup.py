@@ -99,9 +99,11 @@ def keep_bitmaps(
     """
     if keep not in (FIRST, LARGEST_DOCUMENT):
         raise ValueError(f"unknown rule {keep!r}")
-    lines = _lines(docs, doc_id, text, min_chars)
+    scratch = Scratch(docs.sparkSession, "line-dedup")
+    # Written, as finding the ranges, dealing out the hashes and the join all read them.
+    lines = scratch.write(_lines(docs, doc_id, text, min_chars), "lines")
     # Written, so that the join can split the lines of a hash that many documents share.
-    repeated = Scratch(docs.sparkSession, "line-dedup").write(_repeated(lines, min_docs), "repeated")
+    repeated = scratch.write(_repeated(lines, min_docs), "repeated")
     if keep == FIRST:
         stays = F.struct("doc", "row", "pos").eqNullSafe(F.col("first"))
     else:
