@@ -340,3 +340,15 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == rows.columns
     assert dict(rows_of(docs, "doc_id", "text")) == {i: t for i, t in kept if parents[i] == i}
+
+
+def test_encoding_and_decoding_as_columns(spark):
+    from twintext.llm.common import ship_package
+
+    path = vocabulary_file("byte_bpe_50k.json")
+    ship_package(spark)
+    df = spark.createDataFrame([("Hello été",), (None,), ("",)], "text string")
+    ids = df.select(bpe_automaton.encode(F.col("text"), path).alias("ids"))
+    assert [r[0] for r in ids.select(bpe_automaton.decode(F.col("ids"), path)).collect()] == ["Hello été", "", ""]
+    odd = spark.createDataFrame([([39, None, 68],), (None,), ([180],)], "ids array<int>")
+    assert [r[0] for r in odd.select(bpe_automaton.decode(F.col("ids"), path)).collect()] == ["He", "", "\ufffd"]
