@@ -25,7 +25,7 @@ executors, so its path has to exist there.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from twintext.llm.common import ship_package
 from twintext.llm.pretokens import WordTable, splitter
 
-_REMEMBERED = 1_000_000  # arcs looked up that are kept; then the memory starts anew
+_ROWS = 1_000  # handled at once
+_REMEMBERED = 400_000  # arcs looked up that are kept; then the memory starts anew
 
 
 @lru_cache
@@ -163,50 +164,88 @@ def word_table(path: str) -> WordTable:
         ids = [specials[word]] if word in specials else automaton.encode(word.encode())
         return np.array(ids, "<i4").tobytes()
 
-    return WordTable(compute)
+    return WordTable(compute, limit=450_000)
+
+
+def ids_of(texts: pa.Array, path: str) -> pa.Array:
+    """Token ids of every text, as lists; null gives an empty list."""
+    split = splitter(tuple(load(path)[1]))
+    known = word_table(path).__getitem__
+    rows = []
+    for value in texts:
+        words = split(value.as_py() or "")
+        rows.append(b"".join([b"".join(map(known, part)) for part in words]))
+    ends = np.cumsum([0, *map(len, rows)]) // 4
+    values = np.frombuffer(b"".join(rows), "<i4")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+@lru_cache
+def _label_table(path: str) -> np.ndarray:
+    labels = load(path)[0].labels
+    label_of = np.empty(max(labels) + 1, object)
+    for token, label in labels.items():
+        label_of[token] = label
+    return label_of
+
+
+def texts_of(rows: pa.Array, path: str) -> pa.Array:
+    """The texts behind lists of ids, malformed bytes replaced."""
+    label_of = _label_table(path)
+    texts = []
+    for row in rows:
+        known = row.values.drop_null().to_numpy() if row.is_valid else np.empty(0, "i4")
+        texts.append(b"".join(label_of[known].tolist()).decode("utf-8", "replace"))
+    return pa.array(texts, pa.string())
 
 
 def encode(text: Column, path: str) -> Column:
     """``array<int>`` of the token ids of a text; null gives an empty array."""
 
     def run(texts: pa.Array) -> pa.Array:
-        split = splitter(tuple(load(path)[1]))
-        ids_of = word_table(path).__getitem__
-        rows = []
-        for value in texts:
-            words = split(value.as_py() or "")
-            rows.append(b"".join([b"".join(map(ids_of, part)) for part in words]))
-        ends = np.cumsum([0, *map(len, rows)]) // 4
-        values = np.frombuffer(b"".join(rows), "<i4")
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        from twintext.llm import bpe_automaton as here
 
-    # Else a plan that also decodes the ids would encode each text twice.
-    return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
+        return here.ids_of(texts, path)
+
+    return F.arrow_udf(run, "array<int>")(text)
 
 
 def decode(ids: Column, path: str) -> Column:
     """The text behind token ids, malformed bytes replaced; null ids or tokens are left out."""
 
     def run(rows: pa.Array) -> pa.Array:
-        labels = load(path)[0].labels
-        label_of = np.empty(max(labels) + 1, object)
-        for token, label in labels.items():
-            label_of[token] = label
-        texts = []
-        for row in rows:
-            known = row.values.drop_null().to_numpy() if row.is_valid else np.empty(0, "i4")
-            texts.append(b"".join(label_of[known].tolist()).decode("utf-8", "replace"))
-        return pa.array(texts, pa.string())
+        from twintext.llm import bpe_automaton as here
+
+        return here.texts_of(rows, path)
 
     return F.arrow_udf(run, "string")(ids)
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, ids, decoded)``: every text encoded and its ids decoded.
+
+    In one pass, as two columns would take a second worker with tables of its own.
+    """
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from twintext.llm import bpe_automaton as here
+
+        for batch in batches:
+            for k in range(0, len(batch), here._ROWS):
+                part = batch.slice(k, here._ROWS)
+                ids = here.ids_of(part.column(1), path)
+                decoded = here.texts_of(ids, path)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, decoded], ["doc_id", "ids", "decoded"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
-    ship_package(docs.sparkSession)
-    encoded = docs.select("doc_id", encode(F.col("text"), path).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", decode(F.col("ids"), path).alias("decoded"))
-    return decoded.select(
+    return round_trip(docs, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
