@@ -101,11 +101,12 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pairs in a binary Parquet table, of which many are damaged.
 
     By turns a text is left alone, led by a byte that no text holds, ended inside
-    its first character of several bytes, or missing.
+    its last character of several bytes, or missing.
     """
     data = F.col("text").cast("binary")
-    ascii_part = F.regexp_extract("text", r"\A[\x00-\x7f]*", 0)
-    inside = F.substring(data, 1, F.octet_length(ascii_part) + 1)
+    ascii_end = F.octet_length(F.regexp_extract(F.reverse("text"), r"\A[\x00-\x7f]*", 0))
+    n_bytes = F.octet_length("text")
+    inside = F.when(ascii_end == n_bytes, data).otherwise(F.substring(data, F.lit(1), n_bytes - ascii_end - 1))
     kind = F.col("doc_id") % 4
     src = F.when(kind == 0, data).when(kind == 1, F.concat(F.lit(b"\xff"), data)).when(kind == 2, inside)
     path = join_path(fresh_directory(spark), "damaged")
@@ -359,9 +360,13 @@ def _prepare_again(spark, d):
 
 
 def _roundtrip(spark, d):
-    """Damaged texts come back otherwise; all others come back as they were."""
-    texts = damaged(spark, d).select("pair_id", F.col("src").alias("text"))
-    failed = roundtrip_failures(texts, pair_merges(spark, d))
+    """Every whole document, and the damaged copies as further rows.
+
+    Damaged texts come back otherwise; all others come back as they were.
+    """
+    whole = documents(spark, d, "text").withColumnRenamed("doc_id", "pair_id")
+    copies = damaged(spark, d).select("pair_id", F.col("src").alias("text"))
+    failed = roundtrip_failures(whole.unionByName(copies), pair_merges(spark, d))
     return failed.agg(F.count(F.lit(1)).alias("n_failed"))
 
 
