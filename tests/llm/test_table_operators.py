@@ -135,6 +135,33 @@ def test_recall_order_and_scores(vectors):
     assert vector_search.nearest(empty(vectors), empty(vectors)).count() == 0
 
 
+@pytest.mark.parametrize("few", [vector_search._FEW, 0])
+def test_queries_get_all_places(spark, monkeypatch, few):
+    monkeypatch.setattr(vector_search, "_FEW", few)
+    rng = np.random.default_rng(6)
+    rows, lengths = [], {}
+    for length, n in ((24, 8), (32, 12), (64, 20), (48, 50)):
+        for _ in range(n):
+            lengths[len(rows)] = length
+            rows.append((len(rows), [float(x) for x in rng.normal(size=length)]))
+    rows += [(1, [x + 0.01 * j for x in rows[2][1]]) for j in range(15)]  # one item with many near rows
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in vector_search.nearest(df, df).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    for query, length in lengths.items():
+        best = {}
+        for i, point in rows:
+            for j, v in rows:
+                if i == query and j != query and len(v) == length:
+                    best[j] = min(best.get(j, np.inf), float(np.sqrt(((np.array(v) - np.array(point)) ** 2).sum())))
+        expected = sorted((s, j) for j, s in best.items())[:10]
+        mine = [(s, j) for _, s, j in sorted(found[query])]
+        assert len(mine) == len(expected)
+        if few:
+            assert [j for _, j in mine] == [j for _, j in expected]
+
+
 def test_hot_buckets_are_cut_without_loss(vectors, monkeypatch):
     queries = vectors.where("vec_id % 100 = 0 OR vec_id >= 1000")
     whole = Counter(map(tuple, vector_search.nearest(vectors, queries).collect()))
