@@ -248,6 +248,21 @@ def test_perspectives(spark):
     assert chat_format.perspectives(empty(turns)).count() == 0
 
 
+def test_equal_turns_without_a_number_or_conversation_stay(spark):
+    rows = [(1, None, "ann", "ok")] * 2 + [(1, 4, "ann", "once")] * 2 + [(None, 0, "bob", "yes")] * 3
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r["conv_id"], r["speaker"], r["block"]): r for r in chat_format.perspectives(turns).collect()}
+    said = {key: (r["n_turns"], r["text"], len(r["trained"])) for key, r in found.items()}
+    assert said == {
+        (1, "ann", None): (2, "<|im_start|>assistant\nok<|im_end|>\n" * 2, 2),
+        (1, "ann", 0): (1, "<|im_start|>assistant\nonce<|im_end|>\n", 1),
+        (None, "bob", 0): (3, "<|im_start|>assistant\nyes<|im_end|>\n" * 3, 3),
+    }
+    crowd = spark.createDataFrame([(1, None, "ann", "ok")] * 50, turns.schema)
+    parts_ = chat_format.perspectives(crowd, crowd=8).collect()
+    assert sum(p["n_turns"] for p in parts_) == 50 and max(p["n_turns"] for p in parts_) < 30
+
+
 def test_crowded_turns_get_parts_of_their_own(spark):
     rows = [(1, 0, "ann", f"t{k}") for k in range(50)] + [(1, 1, "bob", "end")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

@@ -10,8 +10,9 @@ numbers each. A turn number that more than ``crowd`` rows share has parts of its
 own, dealt out by a hash. Parts in the order ``(block, turn, lane)``, nulls
 first, give the whole dialogue.
 
-Rows equal in all four columns are one turn. Rows without a conversation id are
-one dialogue, rows without a turn number come first, a null text is empty, and a
+Rows equal in all four columns are one turn if they have a conversation id and a
+turn number; without one of them nothing says so, and each is a turn of its own.
+Rows without a conversation id are one dialogue, rows without a turn number come first, a null text is empty, and a
 turn without a role is said by a user without a name, who is no participant. A
 dialogue without participants has no rows; an empty table gives none. Texts are
 rendered whole. Other columns are not read.
@@ -35,12 +36,15 @@ def _header(role: Column, speaker: Column) -> Column:
 
 
 def segments(turns: DataFrame, turns_per_part: int = 32, crowd: int = 64) -> DataFrame:
-    """Every distinct turn from every point of view: one row per turn and participant.
+    """Every turn from every point of view: one row per turn and participant.
 
     ``(conv_id, speaker, block, crowded_turn, lane, turn, role, text, header, trained)``
     """
     scratch = Scratch(turns.sparkSession, "chat-format")
-    rows = scratch.write(turns.select("conv_id", "turn", "role", "text").distinct(), "turns")
+    counted = turns.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("__times"))
+    times = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.col("__times")).otherwise(F.lit(1))
+    copies = F.sequence(F.lit(1).cast("long"), times.cast("long"))
+    rows = scratch.write(counted.select("conv_id", "turn", "role", "text", F.explode(copies).alias("__copy")), "turns")
     speakers = rows.where(F.col("role") != SYSTEM).select(
         F.col("conv_id").alias("__conv"), F.col("role").alias("speaker")
     )
@@ -50,6 +54,7 @@ def segments(turns: DataFrame, turns_per_part: int = 32, crowd: int = 64) -> Dat
     )
     crowds = scratch.write(crowds.where(F.col("__n") > crowd), "crowds")
     lanes = F.ceil(F.col("__n") / crowd).cast("int")
+    hashed = F.when(F.col("__copy") == 1, F.xxhash64("role", "text")).otherwise(F.xxhash64("role", "text", "__copy"))
     placed = rows.join(
         crowds, F.col("conv_id").eqNullSafe(F.col("__at")) & F.col("turn").eqNullSafe(F.col("__turn")), "left"
     ).select(
@@ -59,7 +64,7 @@ def segments(turns: DataFrame, turns_per_part: int = 32, crowd: int = 64) -> Dat
         F.coalesce("text", F.lit("")).alias("text"),
         F.floor(F.col("turn") / turns_per_part).cast("long").alias("block"),
         F.when(F.col("__n").isNotNull(), F.col("turn")).alias("crowded_turn"),
-        F.coalesce(F.pmod(F.xxhash64("role", "text"), lanes).cast("int"), F.lit(0)).alias("lane"),
+        F.coalesce(F.pmod(hashed, lanes).cast("int"), F.lit(0)).alias("lane"),
     )
     seen = placed.join(speakers, F.col("conv_id").eqNullSafe(F.col("__conv")))
     return seen.select(
