@@ -127,9 +127,9 @@ def pair_merges(spark: SparkSession, sf_dir: str, n: int = PAIR_MERGES) -> list[
     return train_bpe(unpivot_corpus(train), 256 + n)
 
 
-def document_merges(spark: SparkSession, sf_dir: str) -> list[Merge]:
+def document_merges(spark: SparkSession, sf_dir: str, n: int = DOCUMENT_MERGES) -> list[Merge]:
     corpus = text_corpus(documents(spark, sf_dir, "text"), "doc_id")
-    return train_bpe(corpus, 256 + DOCUMENT_MERGES)
+    return train_bpe(corpus, 256 + n)
 
 
 def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +303,10 @@ def _bpe_merges(spark, d):
     return merges_table(spark, document_merges(spark, d))
 
 
+def _bpe_merges_documents_full(spark, d):
+    return merges_table(spark, document_merges(spark, d, 244))
+
+
 def _bpe_merges_full(spark, d):
     return merges_table(spark, pair_merges(spark, d, 244))
 
@@ -561,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_merge": _apply_merge,
     "bpe_merges_8": _bpe_merges,
     "bpe_merges_244": _bpe_merges_full,
+    "bpe_merges_documents_244": _bpe_merges_documents_full,
     "bpe_vocabulary": _bpe_vocabulary,
     "bpe_encode": _bpe_encode,
     "bpe_encode_documents": _bpe_encode_documents,
