@@ -161,6 +161,19 @@ def test_near_duplicates(docs, words, percent):
     assert near_dedup.near_duplicates(empty(docs), rule).count() == 0
 
 
+def test_texts_that_share_an_id_are_not_lost(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b + " more"), (5, a), (5, None), (7, c), (8, c), (8, c + " end"), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_of(near_dedup.one_of_each(docs), "doc_id", "text")
+    others = [r for r in found if not (r[1] or "").startswith("b")]
+    assert Counter(others) == Counter([(5, a), (5, None), (7, c), (None, a)])
+    near = set(found) - set(others)
+    assert len(near) == len(found) - len(others) == 1 and near <= {(5, b), (5, b + " more")}
+    again = near_dedup.one_of_each(docs.repartition(3, "text"))
+    assert Counter(rows_of(again, "doc_id", "text")) == Counter(found)
+
+
 def test_blocks_find_links_between_components():
     import numpy as np
     import pyarrow as pa

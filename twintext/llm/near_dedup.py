@@ -396,13 +396,28 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The kept documents with all their columns, one row for each id.
+    """The kept documents with all their columns.
 
-    Of several rows with one id, or with a null id and one text, one stays.
+    Of rows with one text and one id, or a null id, one stays. Of rows with one
+    id and different texts all stay that are linked with no other of them, and
+    of linked ones the one with the smallest hash.
     """
-    (key,) = fresh(docs, "key")
+    scratch = Scratch(docs.sparkSession, "one-of-each")
+    key, number = fresh(docs, "key", "number")
     kept = near_duplicates(docs, rule, doc_id, text).where("kept AND doc_id IS NOT NULL")
-    ids = kept.select(F.col("doc_id").alias(key)).distinct().hint("shuffle_hash")
-    named = docs.join(ids, docs[doc_id] == F.col(key), "left_semi").dropDuplicates([doc_id])
+    ids = kept.groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias(number))
+    ids = scratch.write(ids, "ids")
+
+    def named(chosen: Column) -> DataFrame:
+        return docs.join(ids.where(chosen).hint("shuffle_hash"), docs[doc_id] == F.col(key), "left_semi")
+
     unnamed = docs.where(F.col(doc_id).isNull()).dropDuplicates([text])
-    return named.unionByName(unnamed)
+    once = named(F.col(number) == 1).unionByName(unnamed)
+    if ids.where(F.col(number) > 1).isEmpty():
+        return once
+    # Kept ids are not linked with each other, so what is linked here shares its id.
+    texts = named(F.col(number) > 1).dropDuplicates([doc_id, text])
+    texts = scratch.write(texts.withColumn(key, F.xxhash64(doc_id, text)), "texts")
+    stay = near_duplicates(texts, rule, key, text).where("kept").select(F.col("doc_id").alias(number)).distinct()
+    several = texts.join(stay.hint("shuffle_hash"), F.col(key) == F.col(number), "left_semi").drop(key)
+    return once.unionByName(several)
