@@ -10,11 +10,14 @@ from twintext.llm import (
     line_dedup,
     near_dedup,
     packing,
+    phrases,
     quality_rules,
+    simhash_dedup,
     token_counts,
     url_filter,
     vector_search,
     warc_archives,
+    whitening,
 )
 from twintext.llm.common import table
 
@@ -82,6 +85,20 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(pages, URL_RULES, url_filter.query_heavy_hosts(pages))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simhash_dedup.near_duplicates(docs, simhash_dedup.Rule(words=3, most=3))
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return phrases.collocations(docs, phrases.Rule(longest=3, least=10, inside=50, first=2000))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32, weights="count")
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc_archives": op2_warc_archives,
@@ -93,6 +110,9 @@ QUERIES = {
     "op8_vector_search": op8_vector_search,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES = {
@@ -202,4 +222,44 @@ ORACLES = {
         SELECT h.page_id, h.host, h.path, rule,
                coalesce(verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
         FROM h LEFT JOIN fits USING (page_id) LEFT JOIN listed ON listed.host = h.host""",
+    "op12_phrase_mining": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents),
+        p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS (
+            SELECT row_number() OVER () AS id, lang,
+                   list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+        u AS (SELECT id, lang, unnest(w) AS w1, unnest(range(len(w))) AS i FROM w),
+        x AS (
+            SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3
+            FROM u WINDOW o AS (PARTITION BY id ORDER BY i)),
+        f AS (
+            SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM x GROUP BY ALL
+            UNION ALL
+            SELECT lang, 2, w1 || ' ' || w2, count(*) FROM x WHERE w2 IS NOT NULL GROUP BY ALL
+            UNION ALL
+            SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM x WHERE w3 IS NOT NULL GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS x, f AS a FROM f WHERE k >= 2 AND f >= 10),
+        cuts AS (
+            SELECT lang, k, phrase, a, x, j, array_to_string(x[1:j], ' ') AS before, array_to_string(x[j + 1:], ' ') AS after
+            FROM c, (VALUES (1), (2)) s(j) WHERE j < k),
+        scored AS (
+            SELECT cuts.*, b.f AS l, e.f AS r, ((1000000::HUGEINT * a * a) // (b.f::HUGEINT * e.f))::BIGINT AS score
+            FROM cuts JOIN f b ON b.lang = cuts.lang AND b.phrase = before
+                      JOIN f e ON e.lang = cuts.lang AND e.phrase = after),
+        best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inside AS (
+            SELECT lang, phrase, max(a) AS most FROM (
+                SELECT lang, array_to_string(x[1:2], ' ') AS phrase, a FROM c WHERE k = 3
+                UNION ALL SELECT lang, array_to_string(x[2:3], ' '), a FROM c WHERE k = 3) GROUP BY ALL),
+        kept AS (
+            SELECT best.* FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase AND k = 2
+            WHERE most IS NULL OR 100 * most < 50 * a),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }
