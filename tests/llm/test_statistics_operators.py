@@ -180,20 +180,41 @@ def test_phrases(spark, rule):
     assert phrases.collocations(empty(docs), rule).count() == 0
 
 
+@pytest.mark.parametrize("held, piece", [(1 << 18, 1 << 20), (7, 3)])
+@pytest.mark.parametrize("codes", [1 << 20, 6, 0])
+def test_chunks_and_words_without_code(spark, monkeypatch, held, piece, codes):
+    monkeypatch.setattr(phrases, "CODES", codes)
+    rule = phrases.Rule(longest=3, least=2)
+    docs = talk(spark)
+    words = phrases.word_counts(docs).cache()
+    made = phrases.codes_of(words, rule)
+    assert made.complete == (codes > 6) and len(made.words) <= codes
+    monkeypatch.setattr(phrases, "_HELD", held)
+    monkeypatch.setattr(phrases, "_PIECE", piece)
+    for lang, texts in [("en", [b"a b c. d e", b"f g"]), ("fr", [b"h"])]:
+        batch = phrases.pa.record_batch([phrases.pa.array([lang] * len(texts)), phrases.pa.array(texts)], ["lang", "text"])
+        rebuilt = [w for _, tokens, n in phrases._by_language(batch, 2) for w in tokens[:n]]
+        assert b" ".join(rebuilt) == b" . ".join(t.replace(b".", b" .") for t in texts) + b" ."
+    found = phrases.collocations(docs, rule)
+    assert Counter(rows_of(found, *found.columns)) == mined(rows_of(docs, "lang", "text"), rule)
+
+
 def test_products_beyond_64_bits(spark):
-    rows = [(0, "x", None, None, 10**13), (0, "y", None, None, 10**13), (0, "x", "y", None, 9 * 10**12)]
-    windows = spark.createDataFrame([("en", *r[1:]) for r in rows], "lang string, w1 string, w2 string, w3 string, f long")
-    counts = phrases.phrase_counts(windows, phrases.Rule()).cache()
+    x, y, both = 10**13 + 9 * 10**12, 10**13, 9 * 10**12
+    rows = [("en", 1, "x", x), ("en", 1, "y", y), ("en", 2, "x y", both)]
+    counts = spark.createDataFrame(rows, "lang string, size int, phrase string, f long").cache()
     candidates = counts.where("size = 2").withColumnRenamed("f", "a")
     row = phrases._scored(candidates, counts, phrases.Rule()).first()
-    x = 10**13 + 9 * 10**12
-    assert (row["l"], row["r"], row["score"]) == (x, 10**13, 10**6 * 81 * 10**24 // (x * 10**13))
+    assert (row["l"], row["r"], row["score"]) == (x, y, 10**6 * both * both // (x * y))
 
 
 def test_only_longest_windows_are_counted(spark):
     docs = spark.createDataFrame([("a b c", "en")], "text string, lang string")
-    found = rows_of(phrases.longest_windows(docs), "w1", "w2", "w3", "f")
-    assert sorted(found, key=str) == [("a", "b", "c", 1), ("b", "c", None, 1), ("c", None, None, 1)]
+    codes = phrases.Codes((b"a", b"b"), False)
+    found = rows_of(phrases.longest_windows(docs, codes), "window", "f")
+    assert sorted(found) == [('! " ~c', 1), ('" ~c', 1), ("~c", 1)]
+    whole = rows_of(phrases.longest_windows(docs, phrases.Codes((b"a", b"b"), True)), "window", "f")
+    assert sorted(whole) == [('! "', 1), ('"', 1)]
 
 
 # Whitening

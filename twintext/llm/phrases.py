@@ -3,10 +3,16 @@
 Texts are cut into pieces at punctuation and line ends, pieces into words at
 spaces and tabs; A-Z count as lower case. Only windows of the longest length are
 counted, one per word: the word and, in columns that lead it, those that follow
-in its piece, padded with nulls at the end. ``ROLLUP`` over the window columns
-sums these counts to those of all shorter phrases, as a shorter phrase stands
+in its piece, padded at the end. ``ROLLUP`` over the prefixes of the windows sums
+these counts to those of all shorter phrases, as a shorter phrase stands
 wherever a window begins with it; no shorter window is ever made.
 
+Windows travel as short codes. The most frequent words, at most ``CODES`` of
+them, of 1 KB each and 32 MB together, have codes that are sent to all tasks;
+other words are written out. If all words with ``Rule.least`` occurrences have codes, the
+others are in no candidate, and windows end before them. Either way the counts
+of frequent phrases are exact.
+
 A phrase of ``a`` occurrences is scored by the cut that explains it best: with
 ``l`` and ``r`` occurrences of the parts before and after the cut, the score is
 ``floor(10^6 * a * a / (l * r))``, and the lowest one counts. All parts of a
@@ -21,19 +27,29 @@ An empty table gives no rows. Texts are read whole; other columns are not read.
 
 from __future__ import annotations
 
-import string
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twintext.llm.common import Scratch
+from twintext.llm.common import Scratch, ship_package
 
-_BREAKS = "[.,;:!?\\x0A-\\x0D]+"
-_GAPS = "[\\x20\\x09]+"
+CODES = 1 << 20  # words with a code
+_CODED, _CODED_TOGETHER = 1 << 10, 1 << 25  # bytes of a word with a code, and of all of them, at most
+_HELD = 1 << 18  # words of a task counted at once
+_PIECE = 1 << 20  # bytes of a text, unless a single word is longer
 _SALTS = 64  # parts in which the phrases of a language are ranked first
 _COUNT = "decimal(14,0)"
+_DIGITS = bytes(range(33, 126))  # of codes; written-out words have a tilde in front
+_STOP = b"."
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _STOP * 10)
+_GAP = re.compile(rb"[\x20\x09]")
 
 
 @dataclass(frozen=True)
@@ -51,49 +67,210 @@ class Rule:
     first: int = 2000
 
 
-def _columns(rule: Rule) -> list[str]:
-    return [f"w{k}" for k in range(1, rule.longest + 1)]
+def _tokens(text: bytes) -> Iterator[list[bytes]]:
+    """Words and stops, which stand between pieces, of a text; some at a time."""
+    start = 0
+    while start < len(text):
+        gap = _GAP.search(text, start + _PIECE)
+        end = gap.start() if gap else len(text)
+        # Stops have become one character, so only spaces and tabs separate.
+        yield text[start:end].translate(_PLAIN).replace(_STOP, b" . ").split()
+        start = end
+
+
+def _by_language(batch: pa.RecordBatch, behind: int) -> Iterator[tuple[str, list[bytes], int]]:
+    """``(lang, tokens, n)`` of some texts of a language; the first ``n`` tokens count.
+
+    The others, ``behind`` at most, come again in front of what follows them.
+    """
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        tokens = held.setdefault(lang, [])
+        for some in _tokens(text.as_py() or b""):
+            tokens += some
+            size += len(some)
+            if size >= _HELD:
+                for other, full in held.items():
+                    done = max(0, len(full) - behind) if other == lang else len(full)
+                    yield other, full, done
+                    held[other] = full[done:]
+                tokens, size = held[lang], 0
+        tokens.append(_STOP)
+    for lang, tokens in held.items():
+        yield lang, tokens, len(tokens)
+
+
+def _numbered(tokens: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct tokens, and for each token its place among them."""
+    places = {w: k for k, w in enumerate(dict.fromkeys(tokens))}
+    return list(places), np.fromiter(map(places.__getitem__, tokens), "i8", len(tokens))
+
+
+def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
+    named = F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang")
+    return docs.select(named, F.col(text).cast("binary").alias("text"))
 
 
-def longest_windows(docs: DataFrame, rule: Rule = Rule(), lang: str = "lang", text: str = "text") -> DataFrame:
-    """``(lang, w1, ..., f)``: how often each padded window of the longest length occurs."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    pieces = docs.select(
-        F.coalesce(lang, F.lit("und")).alias("lang"), F.explode(F.split(lowered, _BREAKS)).alias("piece")
+def _string(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary()).view(pa.string())
+
+
+def word_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """``(lang, word, f)``: how often each word occurs, and with a null word how many there are."""
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, tokens, _ in _by_language(batch, 0):
+                words, places = _numbered(tokens)
+                counts = np.bincount(places, minlength=len(words))
+                named = np.array([w != _STOP for w in words], bool)
+                kept = pa.array(named)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * int(named.sum()), pa.string()), _string(words).filter(kept), pa.array(counts[named])],
+                    ["lang", "word", "f"],
+                )
+
+    counts = _texts(docs, lang, text).mapInArrow(run, "lang string, word string, f long")
+    return counts.rollup("lang", "word").agg(F.sum("f").alias("f")).where("lang IS NOT NULL")
+
+
+@dataclass(frozen=True)
+class Codes:
+    """Codes of words; ``complete`` if every word that may be in a candidate has one."""
+
+    words: tuple[bytes, ...]
+    complete: bool
+
+    def code(self, number: int) -> bytes:
+        digits = bytearray()
+        while True:
+            digits.append(_DIGITS[number % len(_DIGITS)])
+            number //= len(_DIGITS)
+            if not number:
+                return bytes(digits)
+
+    def encoder(self) -> Callable[[bytes], bytes | None]:
+        """Words to codes; none for stops and words that are in no candidate."""
+        known = {w: self.code(k) for k, w in enumerate(self.words)}
+        known[_STOP] = None
+        return known.get if self.complete else lambda w: known[w] if w in known else b"~" + w
+
+    def decoder(self) -> Callable[[bytes], bytes]:
+        known = {self.code(k): w for k, w in enumerate(self.words)}
+        return lambda code: code[1:] if code.startswith(b"~") else known[code]
+
+
+def codes_of(counts: DataFrame, rule: Rule) -> Codes:
+    """Codes of the most frequent words, shorter for more frequent ones."""
+    frequent = counts.where(F.col("word").isNotNull() & (F.col("f") >= rule.least))
+    frequent = frequent.groupBy("word").agg(F.max("f").alias("f"))
+    size = F.octet_length("word")
+    short = size <= _CODED
+    digits = F.length(F.bin("f"))
+    classes = frequent.groupBy(digits.alias("digits")).agg(
+        F.count(F.lit(1)).alias("words"),
+        F.count_if(short).alias("short"),
+        F.sum(F.when(short, size).otherwise(0)).alias("size"),
     )
-    found = pieces.where("piece <> ''").select("lang", F.array_remove(F.split("piece", _GAPS), "").alias("words"))
-    names = _columns(rule)
-    leads = [F.slice("words", k, F.greatest(F.size("words"), F.lit(1))) for k in range(2, rule.longest + 1)]
-    zipped = F.arrays_zip(F.col("words").alias(names[0]), *[c.alias(w) for c, w in zip(leads, names[1:])])
-    windows = found.select("lang", F.inline(zipped).alias(*names))
-    return windows.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f"))
+    least, number, together, complete = 64, 0, 0, True
+    for row in sorted(classes.collect(), key=lambda r: -r["digits"]):  # 64 rows at most
+        number, together = number + row["short"], together + row["size"]
+        fits = number <= CODES and together <= _CODED_TOGETHER
+        complete &= fits and row["words"] == row["short"]
+        if not fits:
+            break
+        least = row["digits"]
+    chosen = frequent.where(short & (digits >= least)).select(F.col("word").cast("binary").alias("word"), "f")
+    rows = sorted((-r["f"], bytes(r["word"])) for r in chosen.collect())
+    return Codes(tuple(w for _, w in rows), complete)
+
+
+def longest_windows(
+    docs: DataFrame, codes: Codes, rule: Rule = Rule(), lang: str = "lang", text: str = "text"
+) -> DataFrame:
+    """``(lang, window, f)``: how often each window of the longest length occurs, as codes and spaces."""
+    ship_package(docs.sparkSession)
+    longest = rule.longest
+
+    def counted(lang: str, tokens: list[bytes], n: int, encode: Callable) -> Iterator[pa.RecordBatch]:
+        words, places = _numbered(tokens)
+        coded = [encode(w) for w in words]
+        # 0 is padding; columns lead each word by one more.
+        numbers = np.array([k + 1 if c is not None else 0 for k, c in enumerate(coded)], "i8")
+        padded = np.concatenate([numbers[places], np.zeros(longest, "i8")])
+        columns = [padded[:n]]
+        for k in range(1, longest):
+            columns.append(np.where(columns[-1] > 0, padded[k : n + k], 0))
+        base, packed = len(words) + 1, columns[0]
+        for column in columns[1:]:
+            if int(packed.max(initial=0)) >= (1 << 62) // base:
+                packed = np.unique(packed, return_inverse=True)[1]
+            packed = packed * base + column
+        first, counts = np.unique(packed, return_index=True, return_counts=True)[1:]
+        strings = _string([b"", *[c or b"" for c in coded]])
+        lengths = sum((c[first] > 0).astype("i8") for c in columns)
+        for length in range(1, longest + 1):
+            these = first[lengths == length]
+            if len(these):
+                parts = [strings.take(pa.array(c[these])) for c in columns[:length]]
+                keys = pc.binary_join_element_wise(*parts, " ")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(these), pa.string()), keys, pa.array(counts[lengths == length])],
+                    ["lang", "window", "f"],
+                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = codes.encoder()
+        for batch in batches:
+            for lang, tokens, n in _by_language(batch, longest - 1):
+                yield from counted(lang, tokens, n, encode)
+
+    windows = _texts(docs, lang, text).mapInArrow(run, "lang string, window string, f long")
+    return windows.groupBy("lang", "window").agg(F.sum("f").alias("f"))
 
 
 def phrase_counts(windows: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``(lang, size, phrase, f)``: phrases of 1 to ``longest`` words with ``least`` occurrences
-    or more, and with size 0 the number of words of each language."""
-    names = _columns(rule)
-    shorter = names[:-1]
-    summed = windows.rollup("lang", *shorter).agg(F.sum("f").alias("f"), F.grouping_id().alias("rolled"))
-    # The last bits of grouping_id() tell which columns were summed up; all of them: no language.
-    size = reduce(
-        lambda other, k: F.when(F.col("rolled") == 2 ** (len(shorter) - k) - 1, k).otherwise(other),
-        range(len(shorter) + 1),
+    """``(lang, size, window, f)``: phrases of 1 to ``longest`` words with ``least`` occurrences or more."""
+    size = F.length("window") - F.length(F.replace("window", F.lit(" "), F.lit(""))) + 1
+    sized = windows.withColumn("size", size)
+    # Prefixes of 1, 2, ... words; null where the window is shorter.
+    names = [f"p{k}" for k in range(1, rule.longest)]
+    prefixes = [
+        F.when(F.col("size") >= k, F.substring_index("window", " ", k)).alias(p) for k, p in enumerate(names, 1)
+    ]
+    summed = sized.select("lang", *prefixes, "f").rollup("lang", *names)
+    summed = summed.agg(F.sum("f").alias("f"), F.grouping_id().alias("rolled"))
+    # The last bits of grouping_id() tell which columns were summed up.
+    level = reduce(
+        lambda other, k: F.when(F.col("rolled") == 2 ** (len(names) - k) - 1, k).otherwise(other),
+        range(1, len(names) + 1),
         F.lit(None),
     )
-    summed = summed.select("lang", size.alias("size"), "f", *shorter).where("size IS NOT NULL")
+    prefix = reduce(lambda other, k: F.when(F.col("size") == k, F.col(names[k - 1])).otherwise(other),
+                    range(1, len(names) + 1), F.lit(None))
+    summed = summed.where(F.col("f") >= rule.least).withColumn("size", level).withColumn("window", prefix)
     # A null that was not summed up is padding.
-    whole = reduce(
-        lambda other, k: other & ((F.col("size") < k) | F.col(names[k - 1]).isNotNull()),
-        range(1, len(names)),
-        F.lit(True),
-    )
-    taken = [F.when(F.col("size") >= k, F.col(names[k - 1])) for k in range(1, len(names))]
-    summed = summed.where(whole & ((F.col("size") == 0) | (F.col("f") >= rule.least)))
-    full = windows.where(F.col(names[-1]).isNotNull() & (F.col("f") >= rule.least))
-    return summed.select("lang", "size", F.concat_ws(" ", *taken).alias("phrase"), "f").unionByName(
-        full.select("lang", F.lit(len(names)).alias("size"), F.concat_ws(" ", *names).alias("phrase"), "f")
-    )
+    shorter = summed.where("window IS NOT NULL").select("lang", "size", "window", "f")
+    # Asked for with the count, as a filter on the size alone would move below the
+    # shuffle of the windows, which then would be made twice.
+    full = sized.where(F.when(F.col("size") == rule.longest, F.col("f")).otherwise(0) >= rule.least)
+    return shorter.unionByName(full.select("lang", F.col("size").cast("int").alias("size"), "window", "f"))
+
+
+def _spelled(counts: DataFrame, codes: Codes) -> DataFrame:
+    """Windows as phrases of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = codes.decoder()
+        for batch in batches:
+            windows = batch.column("window").view(pa.binary()).to_pylist()
+            phrases = _string([b" ".join(map(decode, w.split(b" "))) for w in windows])
+            columns = [batch.column("lang"), batch.column("size"), phrases, batch.column("f")]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "f"])
+
+    return counts.mapInArrow(run, "lang string, size int, phrase string, f long")
 
 
 def _part(start: Column, length: Column) -> Column:
@@ -136,9 +313,11 @@ def collocations(docs: DataFrame, rule: Rule = Rule(), lang: str = "lang", text:
     if rule.longest < 2 or rule.least < 1:
         raise ValueError("phrases have two words or more and occur")
     scratch = Scratch(docs.sparkSession, "phrases")
-    windows = scratch.write(longest_windows(docs, rule, lang, text), "windows")
-    counts = scratch.write(phrase_counts(windows, rule), "counts")
-    scratch.drop(windows)
+    words = scratch.write(word_counts(docs, lang, text), "words")
+    codes = codes_of(words, rule)
+    # Both parts of the counts read the shuffled windows.
+    windows = longest_windows(docs, codes, rule, lang, text)
+    counts = scratch.write(_spelled(phrase_counts(windows, rule), codes), "counts")
     candidates = counts.where("size >= 2").withColumnRenamed("f", "a")
     scored = _scored(candidates, counts, rule)
     around = scratch.write(_inside_longer(candidates, rule), "around")
@@ -152,5 +331,5 @@ def collocations(docs: DataFrame, rule: Rule = Rule(), lang: str = "lang", text:
     kept = kept.withColumn("salt", salt).withColumn("place", place).where(F.col("place") <= rule.first)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
     kept = kept.withColumn("rank", rank).where(F.col("rank") <= rule.first)
-    totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
+    totals = words.where("word IS NULL").select("lang", F.col("f").alias("n"))
     return kept.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
