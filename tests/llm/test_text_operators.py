@@ -182,14 +182,38 @@ def test_blocks_find_links_between_components():
         nodes, components, sets = zip(*rows)
         return pa.table({
             "node": pa.array(nodes, pa.int64()), "component": pa.array(components, pa.int64()),
+            "signature": pa.array([[0] * 8 for _ in sets], pa.list_(pa.int64())),
             "shingles": pa.array([np.array(s, "u8").tobytes() for s in sets], pa.binary()),
         })
 
     base = list(range(20))
     apart = side([(5, 5, base), (6, 6, list(range(50, 70)))])
     others = side([(1, 1, base + [99]), (2, 1, base), (5, 5, base), (6, 6, list(range(50, 70)))])
-    links = near_dedup._links_in_block(apart, others, 85).to_pylist()
+    rule = near_dedup.Rule(3, 85)
+    links = near_dedup._links_in_block(apart, others, rule).to_pylist()
     assert [x["a"] for x in links] == [5] and links[0]["b"] in (1, 2)
+    far = others.set_column(2, "signature", pa.array([[0x1111111111111111] * 8] * 4, pa.list_(pa.int64())))
+    assert not near_dedup._links_in_block(apart, far, rule).num_rows  # all low bits differ
+
+
+def test_signatures_count_differing_minima():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 16, (2, 5, near_dedup.HASHES), "u8")
+    packed = [sum(x[:, k::16] << np.uint64(4 * k) for k in range(16)) for x in (a, b)]
+    assert (near_dedup._different(*packed) == (a[:, None] != b[None]).sum(axis=2)).all()
+
+
+def test_many_short_texts_with_common_words(spark, monkeypatch):
+    """Unlinked texts that fill buckets, dealt out to several blocks, and links among them."""
+    monkeypatch.setattr(near_dedup, "_NODES", (50, 300))
+    rows = [(k, f"the same words w{k}") for k in range(2000)]
+    long = " ".join(f"v{k}" for k in range(60))
+    rows += [(3000 + k, f"{long} {' '.join(f'x{j}' for j in range(k))}") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_of(near_dedup.near_duplicates(docs, near_dedup.Rule(3, 85)), "doc_id", "component_id")
+    assert Counter(found) == Counter([(k, k) for k in range(2000)] + [(3000 + k, 3000) for k in range(12)])
 
 
 # Tokens
@@ -337,22 +361,63 @@ def test_lengths_beyond_the_capacity_are_refused():
 
 
 def test_pipeline_against_brute_force(spark, tmp_path):
+    """With null and repeated ids, repeated rows and further columns of clashing names."""
     import corpus_pipeline
 
-    rows = documents(spark).select(
-        "doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.char_length("text").cast("long").alias("n_chars")
-    ).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    rows = documents(spark)
     rows.write.parquet(str(tmp_path / "documents.parquet"))
-    passing = {r["doc_id"] for r in quality_rules.judged(rows).where("failed_bits = 0").collect()}
-    kept = [(i, t) for i, t, _ in kept_lines([x for x in texts(rows) if x[0] in passing], None)]
+    judged = quality_rules.judged(rows).select("doc_id", "failed_bits", F.monotonically_increasing_id())
+    bits = [r[1] for r in judged.orderBy(judged.columns[2]).collect()]
+    passing = [x for x, b in zip(texts(rows), bits) if not b]
+    kept = [(i, t) for i, t, _ in kept_lines(passing, None)]
     parents = linked(kept, 5, 80)
-    packed = corpus_pipeline.run(spark, str(tmp_path))
-    assert {r["doc_id"] for r in packed.collect()} == {i for i in parents if parents[i] == i}
+    expected = Counter({(i, t) for i, t in kept if i is None or parents[i] == i})
     docs = rows
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == rows.columns
-    assert dict(rows_of(docs, "doc_id", "text")) == {i: t for i, t in kept if parents[i] == i}
+    assert Counter(rows_of(docs, "doc_id", "text")) == expected
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    pieces = [r.asDict() for r in packed.collect()]
+    assert Counter(r["doc_id"] for r in pieces if r["piece"] == 0) == Counter(i for i, _ in expected)
+    sequences = defaultdict(list)
+    for r in pieces:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in sequences.values():
+        ends = [0, *[o + n for o, n in sorted(places)]]
+        assert [o for o, _ in sorted(places)] == ends[:-1] and ends[-1] <= 4096
+    lengths = Counter()
+    for i, t in expected:
+        lengths[i] += len(library().encode(t, add_special_tokens=False).ids) + 1
+    found = Counter()
+    for r in pieces:
+        found[r["doc_id"]] += r["length"]
+    assert found == lengths
+
+
+def library():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary_file("word_bpe_49k.json"))
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    empty(documents(spark)).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_counts_characters_anew(spark):
+    import corpus_pipeline
+
+    line = "a line that is found in every one of these documents"
+    docs = spark.createDataFrame([(k, f"{line}\nown {k}", 60) for k in range(5)], "doc_id long, text string, n_chars long")
+    kept = corpus_pipeline.without_repeated_lines(spark, docs, "")
+    assert sorted(rows_of(kept, "doc_id", "n_chars")) == [*((k, 5) for k in range(4)), (4, len(line) + 6)]
 
 
 def test_encoding_and_decoding_as_columns(spark):

@@ -8,53 +8,39 @@ from pyspark.sql import functions as F
 from twintext.llm.common import Scratch
 
 
-def _starred(scratch: Scratch, links: DataFrame, small: bool) -> DataFrame:
-    """Connect neighbours to the least one around each node: larger ones, or not larger ones."""
-    if small:
-        around = links  # a > b: the neighbours that are not larger
-    else:
-        around = links.union(links.select("b", "a"))
-    least = scratch.write(
-        around.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least"
-    )
-    moved = around.join(least, "a")
-    if small:
-        # The node itself is led to the least one, too.
-        moved = moved.select(F.col("b").alias("a"), F.col("least").alias("b")).union(
-            least.select("a", F.col("least").alias("b"))
-        )
-    else:
-        moved = moved.where(F.col("b") > F.col("a")).select(
-            F.col("b").alias("a"), F.col("least").alias("b")
-        )
-    out = scratch.write(moved.where("a > b").distinct(), "links")
-    scratch.drop(least)
-    return out
+def _least(scratch: Scratch, around: DataFrame) -> DataFrame:
+    """``(a, least, degree)``: the least node around each node, itself included."""
+    least = F.least("a", F.min("b")).alias("least")
+    return scratch.write(around.groupBy("a").agg(least, F.count(F.lit(1)).alias("degree")), "least")
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     """``(a, b)``: every linked node but the least of its component, and that least one.
 
     ``links`` has two columns ``a`` and ``b`` of one orderable type; nulls and
-    loops count for nothing. Large and small stars alternate until the links no
-    longer change; the number of rounds grows with the logarithm of the longest
-    path. Every round is written, so that nothing is computed twice, and no
-    node's neighbours are gathered in one place.
+    loops count for nothing. Large stars, which lead larger neighbours to the
+    least node around each node, and small stars, which do so with the others,
+    alternate until only stars are left: nodes with a smaller neighbour then have
+    no other one. The number of rounds grows with the logarithm of the longest
+    path. Every step is written, so that nothing is computed twice and Spark can
+    divide the rows of a hot node; no node's neighbours are gathered in one place.
     """
-    ordered = links.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    )
+    ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = scratch.write(ordered.distinct(), "links")
-    mark = None
     while True:
-        large = _starred(scratch, now, small=False)
-        after = _starred(scratch, large, small=True)
-        for done in (now, large):
-            scratch.drop(done)
-        now = after
-        state = now.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if state == mark or not state[0]:
+        around = now.union(now.select("b", "a"))
+        least = _least(scratch, around)
+        if not least.agg(F.sum(F.when(F.col("least") < F.col("a"), F.col("degree") - 1))).first()[0]:
+            scratch.drop(least)
             return now
-        mark = state
+        large = around.join(least, "a").where("b > a AND b > least")
+        after = scratch.write(large.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(), "links")
+        for done in (now, least):
+            scratch.drop(done)
+        least = _least(scratch, after)
+        # The node itself is led to the least one, too.
+        small = after.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        small = small.union(least.select("a", F.col("least").alias("b"))).where("a > b")
+        now = scratch.write(small.distinct(), "links")
+        for done in (after, least):
+            scratch.drop(done)

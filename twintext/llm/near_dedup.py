@@ -7,13 +7,17 @@ into a signature. A candidate pair is dropped if the number of differing low
 bits, corrected for chance collisions, puts its similarity far below the
 threshold; the others are confirmed on their full sets.
 
-Only components are wanted, so not every pair in a bucket is listed. In some
-rounds all nodes of a bucket are compared with one of them, a different one each
-time, and components grow. What is then still apart from the largest component
-of a bucket is compared with the whole bucket, on full sets and in blocks of
-bounded size, so no link between components is missed; only links found become
-rows. Buckets with a third of all rows are split into such blocks, before that
-by Spark's skew joins, as every table that they are joined with is written.
+Only components are wanted, so not every pair in a bucket is listed. First all
+nodes of a bucket are compared with two of them, and components grow. What is
+then still apart from the largest component of a bucket is compared with the
+whole bucket, by sizes and signatures and then on full sets, in blocks of bounded
+size; only links found become rows. Buckets with a third of all rows are split
+into such blocks, before that by Spark's skew joins, as every table that they are
+joined with is written.
+
+A link is lost only by chance: if its nodes share no bucket (at most 10^-6 for a
+pair at the threshold), or if more low bits differ than five standard errors
+allow (at most 10^-6 by the normal law), and no other path joins the two.
 
 A null or empty text and one without words has an empty set: it is linked with
 nothing. Rows that share an id are one document, linked with whatever any of its
@@ -41,8 +45,9 @@ BITS = 4  # of each minimum in the signature
 ROWS = 3  # minima to a band
 _MISS = 1e-6  # of a pair at the threshold: the chance to share no bucket
 _SPREAD = 5  # standard errors below the threshold at which an estimate drops a pair
-_ROUNDS = 2  # of comparing each bucket with one of its nodes
-_BLOCK = 100_000, 1_000_000  # shingles on both sides of a block of comparisons
+_SHINGLES = 100_000, 1_000_000  # on both sides of a block of comparisons
+_NODES = 2_000, 10_000  # on both sides of a block of comparisons
+_PAIRS = 1 << 20  # whose signatures are compared at once
 _WORDS = HASHES * BITS // 64  # 64-bit words of a signature
 
 
@@ -138,21 +143,22 @@ def _prints(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(node, shingles)``: the sorted set as 64-bit integers."""
+    """``(node, n, signature, shingles)``: with the sorted set as 64-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from twintext.llm import shingles
 
         for batch in batches:
-            texts = [v.as_py() or b"" for v in batch.column(1)]
+            texts = [v.as_py() or b"" for v in batch.column("text")]
             found = [s.tobytes() for s in shingles.sets_of(texts, words)]
+            kept = [batch.column(c) for c in ("node", "n", "signature")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"]
+                [*kept, pa.array(found, pa.binary())], ["node", "n", "signature", "shingles"]
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"node {kind}, shingles binary"
+    kind = docs.schema["node"].dataType.simpleString()
+    return docs.select("node", "n", "signature", F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, f"node {kind}, n long, signature array<long>, shingles binary"
     )
 
 
@@ -173,33 +179,47 @@ def _confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "left", "right").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _links_in_block(apart: pa.Table, others: pa.Table, percent: int) -> pa.Table:
+def _different(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The numbers of differing minima, by their low bits, of each row of ``a`` and each of ``b``."""
+    x = a[:, None, :] ^ b[None, :, :]
+    half = BITS // 2
+    while half:
+        x |= x >> np.uint64(half)
+        half //= 2
+    lowest = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
+    return np.bitwise_count(x & lowest).sum(axis=2, dtype="i4")
+
+
+def _links_in_block(apart: pa.Table, others: pa.Table, rule: Rule) -> pa.Table:
     """Links of nodes that are apart with nodes of other components, one per component."""
     found: list[tuple[int, int]] = []
     if len(apart) and len(others):
-        sets = [np.frombuffer(x.as_buffer(), "u8") for x in apart["shingles"]]
-        many = [np.frombuffer(x.as_buffer(), "u8") for x in others["shingles"]]
+        sets, many = ([np.frombuffer(x.as_buffer(), "u8") for x in t["shingles"]] for t in (apart, others))
         sizes, many_sizes = np.array([*map(len, sets)]), np.array([*map(len, many)])
-        known, place = np.unique(np.concatenate(sets), return_inverse=True)
-        holds = np.zeros((len(sets), len(known) + 1), "u1")
-        holds[np.repeat(np.arange(len(sets)), sizes), place] = 1
-        component = apart["component"].to_numpy()
-        other_component = others["component"].to_numpy()
+        signatures, many_signatures = (
+            np.asarray(t["signature"].combine_chunks().flatten()).view("u8").reshape(-1, _WORDS) for t in (apart, others)
+        )
+        component, other_component = apart["component"].to_numpy(), others["component"].to_numpy()
         names, other_names = apart["node"].to_pylist(), others["node"].to_pylist()
-        step = max(1, (1 << 24) // (len(sets) * max(1, int(many_sizes.max()))))
-        for k in range(0, len(many), step):
-            part = np.concatenate(many[k : k + step])
-            at = np.minimum(np.searchsorted(known, part), len(known) - 1)
-            at[known[at] != part] = len(known)
-            starts = np.cumsum([0, *many_sizes[k : k + step][:-1]])
-            shared = np.add.reduceat(holds[:, at], starts, axis=1, dtype="i8")
-            united = sizes[:, None] + many_sizes[None, k : k + step] - shared
-            similar = 100 * shared >= percent * united
-            similar &= component[:, None] != other_component[None, k : k + step]
-            rows, columns = np.nonzero(similar)
-            pairs = np.stack([rows, other_component[k + columns]], axis=1)
-            for first in np.unique(pairs, axis=0, return_index=True)[1]:
-                found.append((names[rows[first]], other_names[k + columns[first]]))
+        step = max(1, _PAIRS // len(others))
+        for start in range(0, len(sets), step):
+            rows = slice(start, start + step)
+            least = np.minimum(sizes[rows, None], many_sizes)
+            likely = 100 * least >= rule.percent * np.maximum(sizes[rows, None], many_sizes)
+            likely &= component[rows, None] != other_component
+            likely &= _different(signatures[rows], many_signatures) <= rule.most_different
+            for i in np.flatnonzero(likely.any(axis=1)):
+                own, linked = sets[start + i], set()
+                with_it = np.flatnonzero(likely[i])
+                united = np.concatenate([many[j] for j in with_it])
+                at = np.minimum(np.searchsorted(own, united), len(own) - 1)
+                starts = np.cumsum([0, *many_sizes[with_it][:-1]])
+                shared = np.add.reduceat(own[at] == united, starts, dtype="i8")
+                similar = 100 * shared >= rule.percent * (len(own) + many_sizes[with_it] - shared)
+                for j in with_it[similar]:
+                    if other_component[j] not in linked:
+                        linked.add(other_component[j])
+                        found.append((names[start + i], other_names[j]))
     kind = apart.schema.field("node").type
     return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
 
@@ -207,150 +227,103 @@ def _links_in_block(apart: pa.Table, others: pa.Table, percent: int) -> pa.Table
 class _Linker:
     """Grows components over the nodes that share buckets."""
 
-    def __init__(self, scratch: Scratch, docs: DataFrame, prints: DataFrame, nodes: DataFrame, rule: Rule):
+    def __init__(self, scratch: Scratch, docs: DataFrame, nodes: DataFrame, rule: Rule):
         self._scratch, self._rule = scratch, rule
-        entries = (
-            nodes.select("node", F.explode("bands").alias("bucket"))
-            .distinct()
+        entries = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
+        # Two nodes of each bucket: the least one, and one by a hash.
+        by_hash = F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))["node"]
+        buckets = entries.groupBy("bucket").agg(
+            F.min("node").alias("first"), F.max("node").alias("last"), by_hash.alias("second")
         )
-        many = scratch.write(
-            entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"),
-            "buckets",
+        buckets = scratch.write(buckets.where("first < last").select("bucket", "first", "second"), "buckets")
+        #: node, bucket and the bucket's two nodes, of shared buckets
+        self._entries = scratch.write(entries.join(buckets, "bucket"), "entries")
+        members = self._entries.select(F.col("node").alias("member")).distinct()
+        chosen = scratch.write(
+            nodes.join(members.hint("shuffle_hash"), F.col("node") == F.col("member"), "left_semi")
+            .select("node", "n", "signature"),
+            "members",
         )
-        self._entries = scratch.write(entries.join(many, "bucket"), "entries")
-        members = self._entries.select("node").distinct()
-        words = [F.get("signature", F.lit(k)).alias(f"s{k}") for k in range(_WORDS)]
-        #: node, its size, signature and component
-        self._nodes = scratch.write(
-            nodes.join(members, "node").select("node", "n", *words, F.col("node").alias("component")), "nodes"
-        )
-        chosen = scratch.write(members.withColumnRenamed("node", "doc_id"), "members")
+        #: node, size, signature and set
         self._sets = scratch.write(
-            _sets(docs.join(chosen.hint("shuffle_hash"), "doc_id", "left_semi"), rule.words), "sets"
-        )
-
-    def _open(self) -> DataFrame:
-        """``(bucket, node, ...)`` of the buckets that hold more than one component."""
-        rows = self._entries.join(self._nodes, "node")
-        mixed = rows.groupBy("bucket").agg(
-            F.min("component").alias("least"), F.max("component").alias("most")
+            _sets(docs.join(chosen.hint("shuffle_hash"), F.col("doc_id") == F.col("node")), rule.words), "sets"
         )
-        still = self._scratch.write(mixed.where("least < most").select("bucket"), "open")
-        return self._scratch.write(rows.join(still, "bucket"), "candidates")
-
-    def _side(self, rows: DataFrame, side: str) -> DataFrame:
-        return rows.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "bucket"])
 
     def _plausible(self) -> Column:
-        """By component, sizes and signatures, before any set is read."""
+        """By sizes and signatures, before any set is read."""
         least, most = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
         nibble = F.lit(0x1111111111111111)
         different = F.lit(0)
         for k in range(_WORDS):
-            x = F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))
+            x = F.get("a_signature", F.lit(k)).bitwiseXOR(F.get("b_signature", F.lit(k)))
             x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
             x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
             different = different + F.bit_count(x.bitwiseAND(nibble))
-        return (
-            (F.col("a_component") != F.col("b_component"))
-            & (100 * least >= self._rule.percent * most)
-            & (different <= self._rule.most_different)
-        )
-
-    def _compared(self, pairs: DataFrame) -> DataFrame:
-        """The links among candidate pairs ``(a, b)``."""
-        wanted = self._scratch.write(
-            pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
-        )
-        left = self._sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-        right = self._sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-        return _confirmed(wanted.join(left, "a").join(right, "b"), self._rule.percent)
-
-    def _compared_in_blocks(self, rows: DataFrame) -> DataFrame:
-        """The links between components in open buckets: what is apart against all."""
-        rows = rows.select("bucket", "node", "n", "component")
+        return (100 * least >= self._rule.percent * most) & (different <= self._rule.most_different)
+
+    def _side(self, side: str, *columns: str) -> DataFrame:
+        return self._sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+
+    def with_two(self) -> DataFrame:
+        """The links ``(a, b)`` of the nodes of each bucket with its two chosen nodes."""
+        pairs = self._entries.select("node", F.explode(F.array("first", "second")).alias("other")).where("node <> other")
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        for side in ("a", "b"):
+            pairs = pairs.join(self._side(side, "n", "signature"), side)
+        wanted = self._scratch.write(pairs.where(self._plausible()).select("a", "b").distinct(), "pairs")
+        with_sets = wanted.join(self._side("a", "shingles"), "a").join(self._side("b", "shingles"), "b")
+        named = with_sets.withColumnsRenamed({"a_shingles": "left", "b_shingles": "right"})
+        return self._scratch.write(_confirmed(named, self._rule.percent), "links")
+
+    def in_blocks(self, merged: DataFrame) -> DataFrame:
+        """The links left between components: what is apart in a bucket against all of it.
+
+        ``merged`` holds ``(a, b)``: nodes and the least nodes of their components.
+        """
+        known = merged.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        facts = self._sets.select("node", "n").join(known, "node", "left")
+        facts = facts.select("node", "n", F.coalesce("component", "node").alias("component")).distinct()
+        rows = self._scratch.write(self._entries.select("bucket", "node").join(facts, "node"), "rows")
         sized = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
         whole = sized.groupBy("bucket").agg(
             F.sum("c").alias("nodes"),
             F.sum("n").alias("all"),
-            F.max(F.struct("n", "component")).alias("main"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.max(F.struct("n", "c", "component")).alias("main"),
         )
-        # Of two nodes the one was compared with the other in the first round.
-        blocks = whole.where("nodes > 2").select(
+
+        def blocks(nodes: Column, shingles: Column, k: int) -> Column:
+            return F.greatest(F.ceil(nodes / _NODES[k]), F.ceil(shingles / _SHINGLES[k])).cast("int")
+
+        # Of two nodes the one has been compared with the other.
+        opened = whole.where("least < most AND nodes > 2").select(
             "bucket",
             F.col("main.component").alias("main"),
-            F.ceil((F.col("all") - F.col("main.n")) / _BLOCK[0]).cast("int").alias("slots"),
-            F.ceil(F.col("all") / _BLOCK[1]).cast("int").alias("parts"),
+            blocks(F.col("nodes") - F.col("main.c"), F.col("all") - F.col("main.n"), 0).alias("slots"),
+            blocks(F.col("nodes"), F.col("all"), 1).alias("parts"),
         )
-        placed = rows.join(self._scratch.write(blocks, "blocks"), "bucket")
+        placed = rows.join(self._scratch.write(opened, "blocks"), "bucket")
         every = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("slots", "parts")]
         own = [F.pmod(F.xxhash64("node"), F.col(c)).cast("int") for c in ("slots", "parts")]
-        keys, columns = ["bucket", "slot", "part"], ["node", "component", "shingles"]
+        keys, columns = ["bucket", "slot", "part"], ["node", "component", "signature", "shingles"]
         apart = placed.where("component <> main").select(
             "bucket", own[0].alias("slot"), every[1].alias("part"), "node", "component"
         )
         others = placed.select("bucket", every[0].alias("slot"), own[1].alias("part"), "node", "component")
-        percent = self._rule.percent
+        rule = self._rule
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             from twintext.llm.near_dedup import _links_in_block
 
-            return _links_in_block(left, right, percent)
+            return _links_in_block(left, right, rule)
 
         kind = rows.schema["node"].dataType.simpleString()
         # Aliases, as both sides stem from the same tables.
         named = [F.col(c).alias(c) for c in (*keys, *columns)]
         sides = [side.join(self._sets, "node").select(*named).groupBy(*keys) for side in (apart, others)]
-        return sides[0].cogroup(sides[1]).applyInArrow(run, f"a {kind}, b {kind}")
-
-    def _connect(self, links: DataFrame) -> None:
-        """Merge the components of linked nodes ``(a, b)``."""
-        scratch = self._scratch
-        links = scratch.write(links, "links")
-        own = self._nodes.select("node", "component")
-        joined = (
-            links.join(own.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
-            .join(own.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
-            .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        )
-        merged = components(scratch, joined).select(
-            F.col("a").alias("component"), F.col("b").alias("into")
-        )
-        before = self._nodes
-        into = F.coalesce("into", "component").alias("component")
-        self._nodes = scratch.write(
-            before.join(merged, "component", "left").select(
-                *[c for c in before.columns if c != "component"], into
-            ),
-            "nodes",
-        )
-        for done in (before, links):
-            scratch.drop(done)
-
-    def run(self) -> DataFrame:
-        """``(node, component)`` of all nodes that share a bucket with another."""
-        for k in range(_ROUNDS):
-            rows = self._open()
-            if rows.isEmpty():
-                break
-            # One node of each bucket: the least one first, then by a hash that differs.
-            rank = F.col("node") if not k else F.xxhash64(F.lit(k), "node")
-            chosen = rows.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node")).alias("p"))
-            picked = self._scratch.write(
-                rows.join(
-                    self._scratch.write(chosen.select("bucket", F.col("p.node").alias("node")), "chosen"),
-                    ["bucket", "node"],
-                ),
-                "chosen",
-            )
-            pairs = self._side(rows, "a").join(self._side(picked, "b"), "bucket").where(self._plausible())
-            self._connect(
-                self._compared(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
-            )
-        rows = self._open()
-        if not rows.isEmpty():
-            self._connect(self._compared_in_blocks(rows))
-        return self._nodes.select("node", "component")
+        links = sides[0].cogroup(sides[1]).applyInArrow(run, f"a {kind}, b {kind}")
+        return self._scratch.write(links, "links")
 
 
 def near_duplicates(
@@ -367,27 +340,28 @@ def near_duplicates(
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = scratch.write(_prints(docs, rule), "prints")
     linked = prints.where("n > 0 AND doc_id IS NOT NULL")
-    groups = linked.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("node"))
+    groups = linked.groupBy("f1", "f2", "n").agg(
+        F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("bands", "signature")]
+    )
     groups = scratch.write(groups, "groups")
-    equal = ["f1", "f2", "n"]
     members = scratch.write(
-        prints.join(groups, equal, "left").select(
+        prints.join(groups.select("f1", "f2", "n", "node"), ["f1", "f2", "n"], "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).alias("node"),
         ),
         "members",
     )
-    nodes = linked.join(groups.withColumnRenamed("node", "doc_id"), [*equal, "doc_id"]).select(
-        F.col("doc_id").alias("node"), "n", "bands", "signature"
-    )
-    found = _Linker(scratch, docs, prints, nodes, rule).run()
     # An id with several texts stands in several nodes: they are one document.
-    ties = members.where("node < doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(ties)
-    merged = components(scratch, links).select(F.col("a").alias("doc_id"), F.col("b").alias("least"))
-    component = F.coalesce("least", "doc_id")
-    return members.join(merged, "doc_id", "left").select(
+    several = members.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c")
+    several = scratch.write(several.select("doc_id", "b"), "several")
+    ties = members.join(several, "doc_id").select(F.col("node").alias("a"), "b")
+    linker = _Linker(scratch, docs, groups, rule)
+    merged = components(scratch, linker.with_two().unionByName(ties))
+    merged = components(scratch, linker.in_blocks(merged).unionByName(merged))
+    merged = merged.select(F.col("a").alias("node"), F.col("b").alias("least"))
+    component = F.coalesce("least", "node")
+    return members.join(merged, "node", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
