@@ -9,10 +9,11 @@ vectors or queries is cut into blocks of bounded size, and every block of
 vectors meets every block of queries of its bucket in a task of its own, which
 returns the nearest few for each query: no list of candidates is ever written.
 
-What the tables find need not be enough. A query that found fewer than it asked
-for, or whose vectors' length few rows have, also meets all vectors of that
-length, through the same blocks. So every query has its full number of rows, or
-all candidates if there are fewer, and among few vectors the result is exact.
+What the tables find need not be enough. A query that found fewer than ``MET``
+different vectors for each one it asked for has seen too little around it to be
+trusted; it also meets all vectors of its length, through the same blocks, and
+its result is exact. So every query has its full number of rows, or all
+candidates if there are fewer, whatever the size of the table.
 
 Vectors that are null, empty or zero, or hold null or non-finite components,
 take no part, nor do rows with a null id. Vectors are compared with those of
@@ -37,7 +38,7 @@ from twintext.llm.common import Scratch, ship_package
 
 TABLES, PROBES = 10, 16
 _VECTORS, _QUERIES = 20_000, 4_000  # to a block
-_FEW = 4_096  # rows of a length up to which queries meet all of them
+MET = 10  # vectors found for each one asked for, below which a query meets all
 _SEED = 23
 
 
@@ -218,11 +219,9 @@ def nearest(
         return chosen(df).select(F.size("vector").alias("space"), F.lit(-1).cast("long").alias("bucket"), "id", "vector")
 
     every = together(vectors)
-    few = scratch.write(every.groupBy("space").count().where(F.col("count") <= _FEW).select("space", F.lit(True).alias("few")), "few")
-    enough = hashed.groupBy("space", F.col("query_id").alias("id")).count().where(F.col("count") >= k)
-    enough = scratch.write(enough.select("space", "id", F.lit(True).alias("enough")), "enough")
-    rest = together(queries).join(few, "space", "left").join(enough, ["space", "id"], "left")
-    rest = rest.where("few IS NOT NULL OR enough IS NULL").select(*bucket, "id", "vector")
+    enough = hashed.groupBy("space", F.col("query_id").alias("id")).count().where(F.col("count") >= MET * k)
+    enough = scratch.write(enough.select("space", "id"), "enough")
+    rest = together(queries).join(enough, ["space", "id"], "left_anti").select(*bucket, "id", "vector")
     whole = met(every, rest, "whole")
 
     once = hashed.union(whole).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
