@@ -21,8 +21,13 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: lines found in five documents or more stay in the one with the largest id only."""
+    """Line dedup: lines found in five documents or more stay in the one with the largest id only.
+
+    ``n_chars``, if there is such a column, is counted anew.
+    """
     kept = line_dedup.without_repeated(docs)
+    if "n_chars" not in docs.columns:
+        return kept
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
