@@ -233,14 +233,11 @@ def longest_windows(
 
 def phrase_counts(windows: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``(lang, size, window, f)``: phrases of 1 to ``longest`` words with ``least`` occurrences or more."""
-    size = F.length("window") - F.length(F.replace("window", F.lit(" "), F.lit(""))) + 1
-    sized = windows.withColumn("size", size)
-    # Prefixes of 1, 2, ... words; null where the window is shorter.
-    names = [f"p{k}" for k in range(1, rule.longest)]
-    prefixes = [
-        F.when(F.col("size") >= k, F.substring_index("window", " ", k)).alias(p) for k, p in enumerate(names, 1)
-    ]
-    summed = sized.select("lang", *prefixes, "f").rollup("lang", *names)
+    sized = windows.withColumn("words", F.split("window", " ")).withColumn("size", F.size("words"))
+    # Null where the window is shorter.
+    names = [f"w{k}" for k in range(1, rule.longest)]
+    words = [F.get("words", F.lit(k)).alias(w) for k, w in enumerate(names)]
+    summed = sized.select("lang", *words, "f").rollup("lang", *names)
     summed = summed.agg(F.sum("f").alias("f"), F.grouping_id().alias("rolled"))
     # The last bits of grouping_id() tell which columns were summed up.
     level = reduce(
@@ -248,11 +245,12 @@ def phrase_counts(windows: DataFrame, rule: Rule = Rule()) -> DataFrame:
         range(1, len(names) + 1),
         F.lit(None),
     )
-    prefix = reduce(lambda other, k: F.when(F.col("size") == k, F.col(names[k - 1])).otherwise(other),
-                    range(1, len(names) + 1), F.lit(None))
-    summed = summed.where(F.col("f") >= rule.least).withColumn("size", level).withColumn("window", prefix)
+    summed = summed.where(F.col("f") >= rule.least).withColumn("size", level).where("size IS NOT NULL")
+    taken = [F.when(F.col("size") >= k, F.col(w)) for k, w in enumerate(names, 1)]
     # A null that was not summed up is padding.
-    shorter = summed.where("window IS NOT NULL").select("lang", "size", "window", "f")
+    whole = reduce(lambda other, k: other & ((F.col("size") < k) | F.col(names[k - 1]).isNotNull()),
+                   range(1, len(names) + 1), F.lit(True))
+    shorter = summed.where(whole).select("lang", "size", F.concat_ws(" ", *taken).alias("window"), "f")
     # Asked for with the count, as a filter on the size alone would move below the
     # shuffle of the windows, which then would be made twice.
     full = sized.where(F.when(F.col("size") == rule.longest, F.col("f")).otherwise(0) >= rule.least)
