@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from checks.queries import BATCHES_PER_EPOCH, DOCUMENT_MERGES, PAD_LABEL, PAIR_MERGES, TGT_LIMIT
 from twintext.operators.alphabet import alphabet
 from twintext.params import END_TOKEN, PADDING_TOKEN, START_TOKEN, special_tokens
@@ -21,6 +23,35 @@ def numbered(source: str, row_id: str, salt: str = "1") -> str:
         count(*) OVER () AS total FROM {source})"""
 
 
+def permuted(source: str, row_id: str, seed: int, epoch: int) -> str:
+    """CTEs that end in ``places``: rows with their stored position k and place x in the epoch.
+
+    The number of rows gives the grid; rounds are nested queries, so that each has names.
+    """
+    prime = 2**31 - 1
+
+    def key(i: int) -> int:
+        return int(md5(f"{seed}:{epoch}:{i}".encode()).hexdigest()[:8], 16) % prime
+
+    def mixed(x: str, k: int) -> str:
+        y = f"(({x} + {k}) % {prime})"
+        return f"{y} * {y} % {prime} * {y} % {prime}"
+
+    def turned(source: str, x: str) -> str:
+        query = f"(SELECT *, {x} // low AS l, {x} % low AS r FROM {source})"
+        for i in range(4):
+            query = f"(SELECT * REPLACE ((l + {mixed('r', key(2 * i))}) % high AS l) FROM {query})"
+            query = f"(SELECT * REPLACE ((r + {mixed('l', key(2 * i + 1))}) % low AS r) FROM {query})"
+        return query
+
+    return f"""RECURSIVE grid AS (SELECT *, ceil(total / high)::bigint AS low
+  FROM (SELECT {row_id}, k, total, ceil(sqrt(total))::bigint AS high FROM {numbered(source, row_id, f'{seed}:stored')})),
+walk AS (SELECT {row_id}, k, total, high, low, l * low + r AS x FROM {turned('grid', 'k')}
+  UNION ALL SELECT {row_id}, k, total, high, low, l * low + r AS x
+  FROM {turned('(SELECT * FROM walk WHERE x >= total)', 'x')}),
+places AS (SELECT {row_id}, k, total, x FROM walk WHERE x < total)"""
+
+
 def split_of(source: str, row_id: str) -> str:
     """Half of the rows, rounded up, are held out; half of those are the test part."""
     return f"""(SELECT * EXCLUDE (total),
@@ -193,6 +224,13 @@ FROM {split_of('documents', 'doc_id')} GROUP BY split""",
   FROM {split_of('documents', 'doc_id')})
 WHERE r <= CASE split WHEN 'train' THEN 300 ELSE 100 END""",
     "shuffle_epoch": f"SELECT doc_id, k AS ordinal FROM {numbered('documents', 'doc_id', '1:3')}",
+    "permuted_epoch": f"WITH {permuted('documents', 'doc_id', 1, 3)} SELECT doc_id, k AS position, x AS ordinal FROM places",
+    "permuted_batches": f"""WITH {permuted('documents', 'doc_id', 1, 1)}
+SELECT doc_id, x // 64 AS batch_id, (x % 64)::int AS slot, length(text)::int AS n_chars
+FROM places JOIN documents USING (doc_id) WHERE x < total // 64 * 64""",
+    "chosen_batches": f"""WITH {permuted('documents', 'doc_id', 1, 1)}
+SELECT doc_id, x // 64 AS batch_id, (x % 64)::int AS slot, length(text)::int AS n_chars
+FROM places JOIN documents USING (doc_id) WHERE x < total // 64 * 64 AND x // 64 IN (0, 2, 5)""",
     "batches": f"""SELECT doc_id, k // 64 AS batch_id, (k % 64)::int AS slot
 FROM {numbered('documents', 'doc_id', '1:0')} WHERE k < total // 64 * 64""",
     "every_k": f"""SELECT doc_id, k // 64 AS batch_id, (k % 64)::int AS slot

@@ -47,6 +47,7 @@ from twintext.operators.filters import (
     validity_report,
 )
 from twintext.operators.pair_counts import count_adjacent_pairs
+from twintext.operators.permutation import permuted_batches, permuted_epoch, read_batches, store_positions
 from twintext.operators.splits import (
     random_split_exact,
     random_split_hash,
@@ -75,6 +76,7 @@ DOCUMENT_MERGES = 8
 LARGE_VOCABULARY = 520
 PAD_LABEL = 9
 BATCHES_PER_EPOCH = 24
+POSITIONS_TO_A_PART = 100
 CAPS = PrepParams(max_train_size=300, max_val_size=100, max_test_size=100)
 
 
@@ -275,6 +277,29 @@ def _preview(spark, d):
     return first_batches(documents(spark, d), 2, 0, "doc_id")
 
 
+def stored_positions(spark, d):
+    """Documents with positions, stored in ranges, and their number."""
+    path = join_path(fresh_directory(spark), "positions")
+    total = store_positions(documents(spark, d, "text"), path, "doc_id", rows_per_part=POSITIONS_TO_A_PART)
+    return spark.read.parquet(path), total
+
+
+def _permuted_epoch(spark, d):
+    rows, total = stored_positions(spark, d)
+    return permuted_epoch(rows, total, 3).select("doc_id", "position", "ordinal")
+
+
+def _permuted_batches(spark, d):
+    rows, total = stored_positions(spark, d)
+    return permuted_batches(rows, total, 1).select("doc_id", "batch_id", "slot", F.length("text").alias("n_chars"))
+
+
+def _chosen_batches(spark, d):
+    rows, total = stored_positions(spark, d)
+    chosen = read_batches(rows, total, [0, 2, 5], 1, rows_per_part=POSITIONS_TO_A_PART)
+    return chosen.select("doc_id", "batch_id", "slot", F.length("text").alias("n_chars"))
+
+
 def _corpus_sides(spark, d):
     return unpivot_corpus(pairs(spark, d))
 
@@ -356,11 +381,15 @@ def _decode_stored(spark, d):
 
 
 def _prepare_again(spark, d):
-    """A second run into the same folder reads nothing but what the first one stored."""
+    """A run over other pairs is refused, a second one over equal pairs reads what the first one stored."""
     run, params = fresh_directory(spark), PrepParams()
-    prepare_corpus(spark, stored_pairs(spark, d), run, params)
-    again = prepare_corpus(spark, pairs(spark, d).where(F.lit(False)), run, params)
-    return split_counts(again.splits)
+    stored = stored_pairs(spark, d)
+    prepare_corpus(spark, stored, run, params)
+    try:
+        prepare_corpus(spark, stored.where(F.lit(False)), run, params)
+    except ValueError:
+        return split_counts(prepare_corpus(spark, stored, run, params).splits)
+    raise RuntimeError("pairs that differ were taken for the stored ones")
 
 
 def _roundtrip(spark, d):
@@ -555,6 +584,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_n_shuffled": _first_n_shuffled,
     "first_n_per_split": _first_n_per_split,
     "shuffle_epoch": _shuffle_epoch,
+    "permuted_epoch": _permuted_epoch,
+    "permuted_batches": _permuted_batches,
+    "chosen_batches": _chosen_batches,
     "batches": _batches,
     "every_k": _every_k,
     "preview_batches": _preview,
