@@ -114,11 +114,45 @@ def test_metric_rollup(spark):
     assert spark.range(1).select(global_step(F.lit(2), F.lit(5), 100).alias("s")).first()["s"] == 205
 
 
-def test_best_so_far_keeps_null_keys_and_reads_once(spark, tmp_path):
+def test_best_so_far_keeps_null_keys_and_reads_once(spark):
     rows = [("a", 1, 2.0), (None, 1, 3.0), (None, 2, 1.0), ("a", None, 5.0)]
-    path = str(tmp_path / "log")
-    spark.createDataFrame(rows, "tag string, epoch long, loss double").write.parquet(path)
-    best = best_so_far(spark.read.parquet(path), ("tag",))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    log = spark.createDataFrame(rows, "tag string, epoch long, loss double")
+    best = best_so_far(log.mapInArrow(count, log.schema), ("tag",))
     found = {(r["tag"], r["epoch"]): r["is_best"] for r in best.collect()}
     assert found == {("a", 1): True, (None, 1): True, (None, 2): True, ("a", None): True}
-    assert best._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert seen.value == len(rows)
+
+
+@pytest.mark.parametrize("keys", [(), ("run",)])
+def test_running_minimum_over_wide_epochs(spark, keys):
+    """Epochs far apart, negative, null and repeated losses; no task may see a whole run."""
+    rng = np.random.default_rng(11)
+    numbers = {0, 1023, 1024, 1025, -1, -1024, -1025, 2**62, -(2**62), 2**63 - 1, -(2**63)}
+    numbers |= {int(x) for x in rng.integers(-(10**6), 10**6, 400)} | {int(x) for x in rng.integers(-(2**62), 2**62, 100)}
+    rows, expected = [], {}
+    for run in ("a", None) if keys else ("a",):
+        order = [None, *sorted(numbers)]
+        losses = [float(x) for x in np.round(rng.normal(0, 1, len(order)) - np.arange(len(order)) / 300, 2)]
+        losses[7], losses[50], losses[200] = math.nan, math.inf, None
+        low = math.inf
+        for e, x in zip(order, losses):
+            rows.append((run, e, x))
+            expected[run, e] = None if x is None else x < low
+            if x is not None and x < low:
+                low = x
+    df = spark.createDataFrame(rows, "run string, epoch long, loss double").repartition(3)
+    best = best_so_far(df, keys)
+    assert {(r["run"], r["epoch"]): r["is_best"] for r in best.collect()} == expected
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_best_so_far_of_nothing(spark):
+    assert best_so_far(spark.createDataFrame([], "epoch long, loss double")).count() == 0
