@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,34 @@ def test_turn_pairs_with_gaps_and_many_turns(spark):
     assert found == [(10000, "q", "a"), (11000, "q2", "a2"), (20000, "q3", "a3")]
 
 
+def next_turns(rows):
+    """Pairs by sorting whole conversations."""
+    rows = sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: (r[0], r[1], r[2] or "", r[3] or ""))
+    return sorted(
+        (a[0], a[1], a[3], b[3])
+        for a, b in zip(rows, rows[1:])
+        if a[0] == b[0] and a[2] == "user" and b[2] == "assistant"
+    )
+
+
+def test_turn_pairs_across_ranges(spark):
+    """A conversation with a third of all rows, gaps of many ranges, and rows without an id or a turn."""
+    rnd = random.Random(3)
+    rows = [(7, t, rnd.choice(["user", "assistant"]), f"t{t}") for t in range(0, 3000)]
+    rows += [(c, t, rnd.choice(["user", "assistant", "system"]), f"{c}-{t}") for c in range(20, 60)
+             for t in sorted(rnd.sample(range(9000), 100))]
+    rows += [(1, 255, "user", "q"), (1, 256, "assistant", "a"), (2, 5, "user", "q"), (2, 9999, "assistant", "a")]
+    rows += [(3, 100, "user", "q"), (3, 100, "user", "q"), (3, 900, "assistant", "a"), (3, 901, "assistant", "b")]
+    rows += [(None, 1, "user", "x"), (None, 2, "assistant", "y"), (4, None, "user", "x"), (4, 0, "assistant", "y"), (5, 1, "user", None), (5, 700, "assistant", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = turn_pairs(df).select(
+        F.expr("pair_id div 10000").alias("c"), F.expr("pair_id % 10000").alias("t"), "src", "tgt"
+    )
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(next_turns(rows), key=key)
+    assert turn_pairs(df.where("false")).count() == 0
+
+
 def test_negative_turns_are_refused(spark):
     turns = spark.createDataFrame([(1, -1, "user", "q")], "conv_id long, turn long, role string, text string")
     with pytest.raises(ValueError, match="negative"):

@@ -8,17 +8,20 @@ from twintext.functions.tokens import Merge
 from twintext.params import PrepParams
 from twintext.plans.examples import build_token_pairs, epoch_batches, token_pairs_once
 from twintext.plans.prepare import prepare_corpus
+from twintext.sources import storage
 from twintext.sources.pairs import read_pairs, read_split, write_splits
 from twintext.sources.storage import (
     Snapshots,
+    data_path,
     ensure_directory,
-    is_complete,
+    fingerprint,
+    is_published,
     join_path,
     materialize_once,
     shared_directory,
 )
 from twintext.sources.tokens import read_token_pairs, write_token_pairs
-from twintext.sources.vocabulary import merges_exist, read_merges, read_vocabulary, write_merges
+from twintext.sources.vocabulary import read_merges, read_vocabulary, write_merges
 
 SCHEMA = "pair_id long, src string, tgt string"
 
@@ -65,12 +68,64 @@ def test_materialize_once(spark, tmp_path):
 
     assert materialize_once(spark, path, build).count() == 3
     assert materialize_once(spark, path, build).count() == 3
-    assert len(built) == 1
-    # A directory without the success mark is a broken write.
-    os.remove(os.path.join(path, "_SUCCESS"))
-    assert not is_complete(spark, path)
-    assert materialize_once(spark, path, build).count() == 3
-    assert len(built) == 2
+    assert len(built) == 1 and is_published(spark, path)
+    with pytest.raises(ValueError, match="other parameters"):
+        materialize_once(spark, path, build, made_with={"seed": 2})
+    with pytest.raises(ValueError, match="other rows"):
+        materialize_once(spark, path, build, made_from=fingerprint(spark.range(4)))
+
+
+def test_a_run_that_stops_before_the_manifest_leaves_no_table(spark, tmp_path, monkeypatch):
+    path, made_with = str(tmp_path / "t"), {"seed": 1}
+
+    def stopped(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "_publish", stopped)
+        with pytest.raises(KeyboardInterrupt):
+            materialize_once(spark, path, lambda: spark.range(5), made_with=made_with)
+    assert os.listdir(path) and not is_published(spark, path)
+    # Another seed neither meets the remains nor is mixed with them.
+    assert materialize_once(spark, path, lambda: spark.range(3), made_with={"seed": 2}).count() == 3
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path):
+    path, made_with = str(tmp_path / "t"), {"seed": 1}
+
+    def slow():
+        # The other writer is done while this one still builds.
+        assert materialize_once(spark, path, lambda: spark.range(3), made_with=made_with).count() == 3
+        return spark.range(3)
+
+    assert materialize_once(spark, path, slow, made_with=made_with).count() == 3
+    assert len([f for f in os.listdir(path) if f.startswith("data-")]) == 1
+    assert not [f for f in os.listdir(path) if f.startswith("_")]
+
+    def other():
+        materialize_once(spark, str(tmp_path / "u"), lambda: spark.range(3), made_with={"seed": 2})
+        return spark.range(3)
+
+    with pytest.raises(ValueError, match="other parameters"):
+        materialize_once(spark, str(tmp_path / "u"), other, made_with=made_with)
+
+
+def test_the_manifest_names_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    materialize_once(spark, path, lambda: spark.range(30).repartition(3))
+    data = data_path(spark, path)
+    spark.range(5).write.mode("append").parquet(data)
+    with pytest.raises(ValueError, match="manifest"):
+        data_path(spark, path)
+
+
+def test_fingerprints_do_not_depend_on_order(spark):
+    df = spark.createDataFrame([(k, "x" * (k % 7)) for k in range(100)], "id long, t string")
+    same = [fingerprint(d) for d in (df, df.orderBy(F.desc("id")), df.repartition(5))]
+    assert same[0] == same[1] == same[2]
+    others = [df.where("id > 0"), df.union(df.limit(1)), df.withColumn("t", F.lit("x")), df.where("false"), df.select("id")]
+    marks = [str(fingerprint(d)) for d in (df, *others)]
+    assert len(set(marks)) == len(marks)
 
 
 def test_snapshots_keep_the_latest(spark):
@@ -121,9 +176,7 @@ def test_read_split_reads_one_directory(spark, tmp_path):
 
 def test_vocabulary_round_trip(spark, tmp_path):
     path, merges = str(tmp_path / "bpe"), [Merge(97, 98, 256), Merge(256, 99, 257)]
-    assert not merges_exist(spark, path)
     write_merges(spark, path, merges)
-    assert merges_exist(spark, path)
     assert read_merges(spark, path) == merges
     assert read_vocabulary(spark, path).count() == 258 + 3
     assert read_vocabulary(spark, path, special=False).where("is_special").count() == 0
@@ -140,14 +193,18 @@ def test_preparation_end_to_end(spark, tmp_path):
     assert [tuple(m) for m in prepared.merges] == brute.train(texts, 14)[0]
 
     with pytest.raises(ValueError, match="other parameters"):
-        prepare_corpus(spark, some_pairs(spark, 3), directory, PrepParams(vocab_size=280))
-    again = prepare_corpus(spark, some_pairs(spark, 3), directory, params)
+        prepare_corpus(spark, pairs, directory, PrepParams(vocab_size=280))
+    with pytest.raises(ValueError, match="other rows"):
+        prepare_corpus(spark, some_pairs(spark, 3), directory, params)
+    again = prepare_corpus(spark, pairs.repartition(3), directory, params)
     assert again.merges == prepared.merges
     assert again.splits.count() == 40
 
     path = str(tmp_path / "tokens")
     stored = token_pairs_once(spark, path, prepared.splits, prepared.merges, params)
-    reread = token_pairs_once(spark, path, prepared.splits.limit(0), prepared.merges, params)
+    reread = token_pairs_once(spark, path, again.splits, prepared.merges, params)
+    with pytest.raises(ValueError, match="other rows"):
+        token_pairs_once(spark, path, prepared.splits.limit(0), prepared.merges, params)
     assert stored.count() == reread.count()
     by_id = {r["pair_id"]: r for r in stored.collect()}
     assert sum(r["split"] == "train" for r in by_id.values()) == 12

@@ -23,7 +23,7 @@ from twintext.operators.batches import assign_batches
 from twintext.operators.filters import filter_length, pair_fits, split_counts
 from twintext.operators.splits import take_first_n_per_split
 from twintext.params import PrepParams
-from twintext.sources.storage import is_complete, materialize_once
+from twintext.sources.storage import fingerprint, is_published, materialize_once
 
 log = logging.getLogger(__name__)
 
@@ -67,15 +67,16 @@ def token_pairs_once(
     merges: Sequence[Merge],
     params: PrepParams = _DEFAULTS,
 ) -> DataFrame:
-    """The token-pair table at ``path``, computed first if it is missing."""
+    """The token-pair table published at ``path``, computed first if there is none."""
     seen = Observation()
-    fresh = not is_complete(spark, path)
+    fresh = not is_published(spark, path)
     stored = materialize_once(
         spark,
         path,
         lambda: build_token_pairs(splits, merges, params, seen=seen),
         partition_by=("split",),
         made_with={"params": asdict(params), "merges": [list(m) for m in merges]},
+        made_from=fingerprint(splits),
     )
     if fresh:
         log.info("%d of %d pairs are too long", seen.get["exceeded"], seen.get["total"])

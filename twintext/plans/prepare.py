@@ -13,9 +13,9 @@ from twintext.operators.corpus import unpivot_corpus
 from twintext.operators.filters import filter_valid_utf8, split_counts
 from twintext.operators.splits import random_split_exact, random_split_hash
 from twintext.params import PrepParams
-from twintext.sources.pairs import read_split, write_splits_once
-from twintext.sources.storage import check_made_with, join_path, note_made_with
-from twintext.sources.vocabulary import merges_exist, read_merges, write_merges
+from twintext.sources.pairs import read_split, write_splits
+from twintext.sources.storage import fingerprint, join_path, publish_once
+from twintext.sources.vocabulary import read_merges, write_merges
 
 log = logging.getLogger(__name__)
 
@@ -35,9 +35,9 @@ def prepare_corpus(
 ) -> Prepared:
     """Split, drop malformed pairs, train on the train split, store both.
 
-    Results that are already complete in ``directory`` are reused; if they were
-    made with other parameters, they are refused. ``collapse`` combines equal
-    texts before training.
+    Results that were published in ``directory`` are reused; if they were made
+    with other parameters or from other pairs, they are refused. ``collapse``
+    combines equal texts before training.
     """
     split_with = {
         "seed": params.seed,
@@ -45,22 +45,22 @@ def prepare_corpus(
         "exact": exact_split,
     }
     splitter = random_split_exact if exact_split else random_split_hash
-    splits_path = join_path(directory, "splits")
-    splits = write_splits_once(
+    made_from = fingerprint(pairs)
+    splits_path = publish_once(
         spark,
-        splits_path,
-        lambda: filter_valid_utf8(splitter(pairs, "pair_id", params)),
-        made_with=split_with,
+        join_path(directory, "splits"),
+        lambda path: write_splits(filter_valid_utf8(splitter(pairs, "pair_id", params)), path),
+        split_with,
+        made_from,
     )
+    splits = spark.read.parquet(splits_path)
     for row in split_counts(splits).collect():
         log.info("%s rows: %d", row["split"], row["n_rows"])
-    vocabulary_path = join_path(directory, "bpe")
+
+    def train(path: str) -> None:
+        rows = read_split(spark, splits_path, "train")
+        write_merges(spark, path, train_bpe(unpivot_corpus(rows), params.vocab_size, collapse))
+
     train_with = {**split_with, "vocab_size": params.vocab_size}
-    if merges_exist(spark, vocabulary_path):
-        check_made_with(spark, join_path(vocabulary_path, "merges"), train_with)
-    else:
-        train = read_split(spark, splits_path, "train")
-        merges = train_bpe(unpivot_corpus(train), params.vocab_size, collapse)
-        write_merges(spark, vocabulary_path, merges)
-        note_made_with(spark, join_path(vocabulary_path, "merges"), train_with)
-    return Prepared(splits, read_merges(spark, vocabulary_path))
+    vocabulary = publish_once(spark, join_path(directory, "bpe"), train, train_with, made_from)
+    return Prepared(splits, read_merges(spark, vocabulary))

@@ -15,7 +15,7 @@ from twintext.operators.bpe import (
     special_token_rows,
 )
 from twintext.params import PrepParams
-from twintext.sources.storage import is_complete, join_path
+from twintext.sources.storage import data_path, join_path
 
 
 def write_merges(spark: SparkSession, path: str, merges: Sequence[Merge]) -> None:
@@ -26,13 +26,9 @@ def write_merges(spark: SparkSession, path: str, merges: Sequence[Merge]) -> Non
     )
 
 
-def merges_exist(spark: SparkSession, path: str) -> bool:
-    return all(is_complete(spark, join_path(path, t)) for t in ("merges", "vocabulary"))
-
-
 def read_merges(spark: SparkSession, path: str) -> list[Merge]:
     """The learned merges in id order; as many as the vocabulary has learned."""
-    table = spark.read.schema(MERGES_SCHEMA).parquet(join_path(path, "merges"))
+    table = spark.read.schema(MERGES_SCHEMA).parquet(join_path(data_path(spark, path), "merges"))
     rows = table.orderBy("rank").collect()
     return [Merge(r["left"], r["right"], r["token"]) for r in rows]
 
@@ -41,5 +37,5 @@ def read_vocabulary(
     spark: SparkSession, path: str, special: bool = True, vocab_size: int = PrepParams().vocab_size
 ) -> DataFrame:
     """Token bytes, by default with the special tokens added."""
-    table = spark.read.schema(VOCABULARY_SCHEMA).parquet(join_path(path, "vocabulary"))
+    table = spark.read.schema(VOCABULARY_SCHEMA).parquet(join_path(data_path(spark, path), "vocabulary"))
     return table.union(special_token_rows(spark, vocab_size)) if special else table
