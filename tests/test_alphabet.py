@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,37 @@ def test_a_character_far_up_is_indexed_quickly(spark):
     assert time.time() - started < 1
     df = spark.createDataFrame([("a\U0001f600b\u0d05",)], "text string")
     assert df.select(column.alias("ids")).first()["ids"] == [0, 1, 2, 2]
+
+
+def test_gathering_costs_the_same_for_any_vocabulary(spark):
+    """50,000 tokens, null and empty lists, tokens without bytes, and many pieces."""
+    import pyarrow as pa
+
+    from twintext.functions import kernels
+
+    table = {i: chr(0x4E00 + i % 20000).encode() * (i % 4) for i in range(50_000)}
+    rng = random.Random(2)
+    rows = [[rng.randrange(50_000) for _ in range(rng.randrange(400))] for _ in range(3000)] + [[], None, [0, 4, 8]]
+    lists = pa.array(rows, pa.list_(pa.int32()))
+    for part in (lists, lists.slice(7, 2000), lists.slice(2999), lists.slice(0, 0)):
+        found = kernels.gatherer(table, "token")(part).to_pylist()
+        assert found == [None if r is None else b"".join(table[i] for i in r) for r in part.to_pylist()]
+    for bad in ([50_000], [-1], [None]):
+        with pytest.raises(ValueError, match="not in vocabulary"):
+            kernels.gatherer(table, "token")(pa.array([[1], bad], pa.list_(pa.int32())))
+
+
+def test_indexing_of_odd_texts():
+    import pyarrow as pa
+
+    from twintext.functions import kernels
+
+    run = kernels.character_indexer({ord(c): k for k, c in enumerate("aé日😀")}, -1)
+    texts = ["", None, "aé日😀z", "\U0010ffffa", "a" * 3_000_000, ""]
+    known = {c: k for k, c in enumerate("aé日😀")}
+    whole = pa.array(texts)
+    for part in (whole, whole.slice(2), whole.slice(1, 1)):
+        assert run(part).to_pylist() == [None if t is None else [known.get(c, -1) for c in t] for t in part.to_pylist()]
+    odd = pa.array([b"a\xffa", b"a"], pa.binary())
+    assert run(odd).to_pylist() == [[0, -1, 0], [0]]
+    assert kernels.character_indexer({}, 7)(pa.array(["xy"])).to_pylist() == [[7, 7]]

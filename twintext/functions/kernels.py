@@ -8,11 +8,12 @@ one past the last token (``vocab_size``).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.compute as pc
 
 DENSE_LIMIT = 2048  # up to here a square table over token pairs fits a task
 _PIECE_BYTES = 1 << 20  # rows are handled in pieces of about this size
@@ -216,3 +217,85 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
         return token[token >= 0].astype("int32")
 
     return merge
+
+
+def gatherer(table: Mapping[int, bytes], what: str) -> Callable:
+    """Lists of ids to the joined bytes behind them, as binary.
+
+    The bytes of all ids lie in one table with offsets, so an id costs the same
+    whatever the size of the vocabulary. An id without bytes is an error.
+    """
+    size = max(table, default=-1) + 1
+    lengths = np.array([len(table.get(i, b"")) for i in range(size)], "int64")
+    starts = np.cumsum(lengths) - lengths
+    known = np.array([i in table for i in range(size)], "bool")
+    data = np.frombuffer(b"".join(table.get(i, b"") for i in range(size)), "uint8")
+    pieces = slicer()
+
+    def gather(lists):
+        ids = lists.flatten()
+        if ids.null_count:
+            raise ValueError(f"{what} not in vocabulary: null")
+        ids = ids.to_numpy()
+        inside = (ids >= 0) & (ids < size)
+        if not inside.all() or not known[ids].all():
+            unknown = ids[~inside] if not inside.all() else ids[~known[ids]]
+            raise ValueError(f"{what} not in vocabulary: {unknown[0]}")
+        taken = lengths[ids]
+        ends = np.append(0, np.cumsum(taken))
+        # Where each byte comes from: the start of its id, and on from there.
+        found = data[np.arange(ends[-1]) + np.repeat(starts[ids] - ends[:-1], taken)]
+        counts = lists.value_lengths().fill_null(0).to_numpy()
+        offsets = ends[np.append(0, np.cumsum(counts))].astype("int32")
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(found)]
+        whole = pa.Array.from_buffers(pa.binary(), len(lists), buffers)
+        return pc.if_else(lists.is_null(), None, whole) if lists.null_count else whole
+
+    def run(lists):
+        parts = [gather(p) for p in pieces(lists, lists.nbytes)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+    return run
+
+
+def character_indexer(index_of: Mapping[int, int], unknown: int, page_bits: int = 8) -> Callable:
+    """Strings to lists with an index for every character, looked up by code point.
+
+    The table has pages, of which only those with a known code point exist,
+    behind one for all others, so it does not grow with the code points' range.
+    """
+    page = 1 << page_bits
+    numbers = sorted({p >> page_bits for p in index_of})
+    place = {number: k for k, number in enumerate(numbers, 1)}
+    last = max(numbers, default=-1) + 1  # a page number that has no page
+    starts = np.array([place.get(n, 0) * page for n in range(last + 1)], "int64")
+    cells = [index_of.get(n * page + k, unknown) for n in numbers for k in range(page)]
+    cells = np.array([unknown] * page + cells, "int32")
+    pieces = slicer()
+
+    def points_of(texts):
+        """Code points of all texts, and the number of each; malformed bytes become marks."""
+        wide = "<i8" if "large" in str(texts.type) else "<i4"
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, wide)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data, "uint8")[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, "uint8")
+        try:
+            joined = raw.tobytes().decode("utf-8")
+        except UnicodeDecodeError:
+            each = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets - offsets[0], offsets[1:] - offsets[0])]
+            return np.frombuffer("".join(each).encode("utf-32-le"), "uint32"), np.array([*map(len, each)])
+        leading = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+        counts = np.diff(leading[offsets - offsets[0]])
+        return np.frombuffer(joined.encode("utf-32-le"), "uint32"), counts
+
+    def index(texts):
+        points, counts = points_of(texts)
+        ids = cells[starts[np.minimum(points >> page_bits, last)] + (points & (page - 1))]
+        offsets = pa.array(np.append(0, np.cumsum(counts)).astype("int32"))
+        return pa.ListArray.from_arrays(offsets, pa.array(ids), mask=texts.is_null() if texts.null_count else None)
+
+    def run(texts):
+        parts = [index(p) for p in pieces(texts, texts.nbytes)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+    return run

@@ -8,8 +8,6 @@ right without overlaps and never leaves the JVM.
 
 from __future__ import annotations
 
-import json
-
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
@@ -19,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from twintext.functions.kernels import (
+    gatherer,
     id_writer,
     merger,
     reader_of,
@@ -151,33 +150,13 @@ def expand_merges(merges: Iterable[Merge]) -> dict[int, bytes]:
     return table
 
 
-def int_array(values: Sequence[int]) -> Column:
-    """A constant ``array<int>``, handed over as one string that is parsed while planning."""
-    if not values:
-        return F.array().cast("array<int>")
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
-
-
-def lookup(table: dict[int, str], index: Column, default: Column) -> Column:
-    """``table[index]`` through a dense literal array, else ``default``."""
-    cells = json.dumps([table.get(i) for i in range(max(table, default=-1) + 1)])
-    # One string that is parsed while planning; null where the table has no entry.
-    dense = F.from_json(F.lit(cells), "array<string>")
-    return F.coalesce(F.when(index >= 0, F.get(dense, index)), default)
-
-
 def bpe_decode(tokens: Column, vocabulary: dict[int, bytes]) -> Column:
     """Text behind an ``array<int>`` of tokens.
 
-    Bytes travel as Latin-1 text and are read as UTF-8 once joined, with
-    replacement marks for malformed parts. An id outside the vocabulary fails
-    the query, as silently dropping it would change the text.
+    Arrow batches of tokens gather their bytes from one table, at the same cost
+    for any vocabulary; joined, they are read as UTF-8 with replacement marks
+    for malformed parts. An id outside the vocabulary fails the query, as
+    silently dropping it would change the text.
     """
-    pieces = {t: b.decode("latin-1") for t, b in vocabulary.items()}
-
-    def piece(token: Column) -> Column:
-        unknown = F.raise_error(F.concat(F.lit("token not in vocabulary: "), token.cast("string")))
-        return lookup(pieces, token, unknown.cast("string"))
-
-    joined = F.array_join(F.transform(tokens, piece), "")
-    return F.make_valid_utf8(F.encode(joined, "ISO-8859-1").cast("string"))
+    joined = F.arrow_udf(gatherer(vocabulary, "token"), "binary")(tokens.cast("array<int>"))
+    return F.make_valid_utf8(joined.cast("string"))

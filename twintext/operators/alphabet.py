@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from twintext.functions.tokens import int_array, lookup
+from twintext.functions.kernels import character_indexer, gatherer
 from twintext.params import END_TOKEN, PADDING_TOKEN, START_TOKEN, UNKNOWN_TOKEN
 
 # The characters of each alphabet, in index order.
@@ -26,7 +26,6 @@ MALAYALAM = (
     "\u200b\u200c\u200d"
 )
 _CODE_POINTS = 1_114_112
-_PAGE = 256
 
 ALPHABETS = {"ml": MALAYALAM, "eng": ENGLISH}
 
@@ -90,32 +89,15 @@ def index_characters(text: Column, token_to_index: dict[str, int]) -> Column:
     """``array<int>`` of vocabulary indexes of the characters of ``text``.
 
     Characters outside the vocabulary get the index of the unknown token, or -1
-    if it has none. The lookup goes through a table of pages of 256 code points,
-    of which only those with a known character exist, so its cost does not
-    depend on the size of the alphabet.
+    if it has none. Runs on Arrow batches, with a lookup per character whose
+    cost does not depend on the size of the alphabet.
     """
-    unknown = token_to_index.get(UNKNOWN_TOKEN, -1)
     by_point = {ord(t): i for t, i in token_to_index.items() if len(t) == 1}
-    numbers = sorted({p // _PAGE for p in by_point})
-    place = {number: k for k, number in enumerate(numbers)}
-    starts = [place.get(n, -1) * _PAGE for n in range(max(numbers, default=-1) + 1)]
-    cells = [by_point.get(n * _PAGE + k, unknown) for n in numbers for k in range(_PAGE)]
-    starts_of, cells_of = int_array(starts), int_array(cells)
-
-    def index(char: Column) -> Column:
-        point = F.ascii(char)
-        start = F.get(starts_of, (point / _PAGE).cast("int"))
-        known = F.get(cells_of, start + point % _PAGE)
-        return F.coalesce(F.when(start >= 0, known), F.lit(unknown))
-
-    return F.transform(F.array_remove(F.split(text, ""), ""), index)
+    run = character_indexer(by_point, token_to_index.get(UNKNOWN_TOKEN, -1))
+    return F.arrow_udf(run, "array<int>")(text)
 
 
 def detokenize(indexes: Column, index_to_token: dict[int, str]) -> Column:
     """Text of an ``array<int>`` of vocabulary indexes; unknown indexes fail."""
-
-    def piece(i: Column) -> Column:
-        missing = F.raise_error(F.concat(F.lit("index not in vocabulary: "), i.cast("string")))
-        return lookup(index_to_token, i, missing.cast("string"))
-
-    return F.array_join(F.transform(indexes, piece), "")
+    run = gatherer({i: t.encode() for i, t in index_to_token.items()}, "index")
+    return F.arrow_udf(run, "binary")(indexes.cast("array<int>")).cast("string")
