@@ -216,6 +216,19 @@ FROM {split_of('documents', 'doc_id')} GROUP BY split""",
     "read_json": f"WITH {PAIRS} SELECT * FROM pairs",
     "read_orc": f"WITH {PAIRS} SELECT * FROM pairs",
     "read_csv": f"WITH {PAIRS} SELECT * FROM pairs",
+    "damaged_json": """SELECT CASE WHEN doc_id % 4 = 0 THEN doc_id END AS pair_id,
+  CASE WHEN doc_id % 4 = 0 THEN md5(text) END AS src, CASE WHEN doc_id % 4 = 0 THEN lang END AS tgt,
+  CASE WHEN doc_id % 4 IN (1, 2) THEN 'unreadable' WHEN doc_id % 4 = 3 THEN 'no id' END AS reason,
+  CASE doc_id % 4 WHEN 1 THEN '{"pair_id":' || doc_id || ',"src":"' || md5(text)
+    WHEN 2 THEN '{"pair_id":"n' || doc_id || '","src":"' || md5(text) || '","tgt":"' || lang || '"}'
+    WHEN 3 THEN '{"src":"' || md5(text) || '","tgt":"' || lang || '"}' END AS record
+FROM documents""",
+    "damaged_csv": """SELECT CASE WHEN doc_id % 4 = 0 THEN doc_id END AS pair_id,
+  CASE WHEN doc_id % 4 = 0 THEN md5(text) END AS src, CASE WHEN doc_id % 4 = 0 THEN lang END AS tgt,
+  CASE WHEN doc_id % 4 > 0 THEN 'unreadable' END AS reason,
+  CASE doc_id % 4 WHEN 1 THEN doc_id || ',' || md5(text) WHEN 2 THEN 'n' || doc_id || ',' || md5(text) || ',' || lang
+    WHEN 3 THEN doc_id || ',' || md5(text) || ',' || lang || ',more' END AS record
+FROM documents""",
     "first_n": """SELECT doc_id, lang FROM
   (SELECT *, row_number() OVER (ORDER BY doc_id) AS r FROM documents) WHERE r <= 300""",
     "first_n_shuffled": f"SELECT doc_id, lang FROM {numbered('documents', 'doc_id')} WHERE k < 300",
@@ -328,6 +341,9 @@ FROM spots JOIN vocabulary USING (token) GROUP BY doc_id""",
 FROM documents""",
     "token_ce": f"WITH {SCORED} SELECT vec_id, round(ce, 6) AS cross_entropy FROM costs",
     "argmax": f"WITH {SCORED} SELECT vec_id, (list_position(l, list_max(l)) - 1)::int AS picked FROM scored",
+    "sharded_scores": f"""WITH {SCORED} SELECT vec_id, round(ce, 6) AS cross_entropy,
+  (list_position(l, list_max(l)) - 1)::int AS picked FROM costs""",
+    "sharded_batch_loss": f"WITH {SCORED} SELECT batch_id, n_tokens, round(loss, 6) AS loss FROM batches",
     "batch_loss": f"WITH {SCORED} SELECT batch_id, n_tokens, round(loss, 6) AS loss FROM batches",
     "epoch_loss": f"WITH {SCORED} SELECT epoch, round(loss, 6) AS loss, n_batches FROM epochs",
     "validation_report": f"""WITH {SCORED} SELECT epoch, round(loss, 6) AS loss, n_batches,
@@ -337,6 +353,8 @@ cut AS (SELECT pair_id, list_concat(tgt_tokens, [{END}]) AS token FROM token_pai
 {flat('pair_id', 'cut', 'token')}""",
     "decode_generated": f"WITH {PAIRS} SELECT pair_id, src || '{END_TOKEN}' AS text FROM pairs",
     "metric_rollup": f"""WITH {METRICS}
+SELECT tag, epoch, round(avg_value, 6) AS avg_value, n, first_step, last_step FROM rollup_""",
+    "metric_rollup_streamed": f"""WITH {METRICS}
 SELECT tag, epoch, round(avg_value, 6) AS avg_value, n, first_step, last_step FROM rollup_""",
     "best_so_far": f"""WITH {METRICS}
 SELECT tag, epoch, round(avg_value, 6) AS loss,

@@ -33,6 +33,7 @@ from twintext.operators.bpe import (
 from twintext.operators.corpus import byte_tokens, text_corpus, unpivot_corpus
 from twintext.operators.evaluate import (
     batch_loss,
+    batch_loss_of_costs,
     best_so_far,
     epoch_loss,
     metric_rollup,
@@ -48,6 +49,7 @@ from twintext.operators.filters import (
 )
 from twintext.operators.pair_counts import count_adjacent_pairs
 from twintext.operators.permutation import permuted_batches, permuted_epoch, read_batches, store_positions
+from twintext.operators.sharded import shard_logits, sharded_scores
 from twintext.operators.splits import (
     random_split_exact,
     random_split_hash,
@@ -66,9 +68,11 @@ from twintext.plans.examples import (
 from twintext.plans.prepare import prepare_corpus
 from twintext.plans.scoring import validation_report
 from twintext.sources.pairs import read_pairs, read_split, turn_pairs, write_splits
+from twintext.sources.quarantine import store_sides
 from twintext.sources.storage import delete_path, ensure_directory, join_path, shared_directory
 from twintext.sources.tokens import read_token_pairs, write_token_pairs
 from twintext.sources.vocabulary import read_vocabulary
+from twintext.streaming.metrics import append_log, end_log, stream_log, streamed_rollup, write_rollup_stream
 
 TGT_LIMIT = 2000  # the given replies are longer than the default limit
 PAIR_MERGES = 244
@@ -77,9 +81,24 @@ LARGE_VOCABULARY = 520
 PAD_LABEL = 9
 BATCHES_PER_EPOCH = 24
 POSITIONS_TO_A_PART = 100
+SHARD_WIDTH = 16
+LOG_PIECES = 4
 CAPS = PrepParams(max_train_size=300, max_val_size=100, max_test_size=100)
 
 
+# By turns a line is whole, ends early, has a word for an id, or lacks the id (JSON) or a field (CSV).
+DAMAGED_JSON_LINE = """CASE doc_id % 4
+  WHEN 0 THEN '{"pair_id":' || doc_id || ',"src":"' || md5(text) || '","tgt":"' || lang || '"}'
+  WHEN 1 THEN '{"pair_id":' || doc_id || ',"src":"' || md5(text)
+  WHEN 2 THEN '{"pair_id":"n' || doc_id || '","src":"' || md5(text) || '","tgt":"' || lang || '"}'
+  ELSE '{"src":"' || md5(text) || '","tgt":"' || lang || '"}' END"""
+DAMAGED_CSV_LINE = """CASE doc_id % 4
+  WHEN 0 THEN doc_id || ',' || md5(text) || ',' || lang
+  WHEN 1 THEN doc_id || ',' || md5(text)
+  WHEN 2 THEN 'n' || doc_id || ',' || md5(text) || ',' || lang
+  ELSE doc_id || ',' || md5(text) || ',' || lang || ',more' END"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -249,6 +268,24 @@ def _read_csv(spark, d):
     return _reread(spark, d, "csv", multiLine="true", escape='"', **blanks)
 
 
+def _written_lines(spark, d, line, format):
+    """Documents as lines of text, of which many are damaged, read and split in two."""
+    base = fresh_directory(spark)
+    lines = documents(spark, d, "text", "lang").select(F.expr(line).alias("value"))
+    lines.write.text(join_path(base, "lines"))
+    sides = store_sides(spark, join_path(base, "lines"), base, format)
+    kept = sides.pairs.select("*", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("record"))
+    return kept.unionByName(sides.set_aside.drop("file"), allowMissingColumns=True)
+
+
+def _damaged_json(spark, d):
+    return _written_lines(spark, d, DAMAGED_JSON_LINE, "json")
+
+
+def _damaged_csv(spark, d):
+    return _written_lines(spark, d, DAMAGED_CSV_LINE, "csv")
+
+
 def _first_n(spark, d):
     return take_first_n(documents(spark, d, "lang"), 300, "doc_id")
 
@@ -521,6 +558,19 @@ def _argmax(spark, d):
     return score_tokens(scored(spark, d), pad_id=PAD_LABEL).select("vec_id", "picked")
 
 
+def _sharded_scores(spark, d):
+    shards = shard_logits(scored(spark, d), SHARD_WIDTH)
+    rows = sharded_scores(shards, ("vec_id",), pad_id=PAD_LABEL)
+    return rows.select("vec_id", F.round("cross_entropy", 6).alias("cross_entropy"), "picked")
+
+
+def _sharded_batch_loss(spark, d):
+    shards = shard_logits(scored(spark, d), SHARD_WIDTH)
+    costs = sharded_scores(shards, ("vec_id", "batch_id"), pad_id=PAD_LABEL)
+    losses = batch_loss_of_costs(costs, pad_id=PAD_LABEL)
+    return losses.select("batch_id", "n_tokens", F.round("loss", 6).alias("loss"))
+
+
 def _batch_loss(spark, d):
     losses = batch_loss(scored(spark, d), pad_id=PAD_LABEL)
     return losses.select("batch_id", "n_tokens", F.round("loss", 6).alias("loss"))
@@ -556,6 +606,23 @@ def _metric_rollup(spark, d):
     return rolled.withColumn("avg_value", F.round("avg_value", 6))
 
 
+def _streamed_rollup(spark, d):
+    """The log arrives in pieces, by epochs; the stream is stopped and started again after each."""
+    base = fresh_directory(spark)
+    source, sink, marks = (join_path(base, n) for n in ("log", "rollup", "marks"))
+    log = metric_log(spark, d)
+    low, high = log.agg(F.min("epoch"), F.max("epoch")).first()
+    width = (high - low) // LOG_PIECES + 1
+    for piece in range(LOG_PIECES):
+        start = low + piece * width
+        append_log(log.where(F.col("epoch").between(start, start + width - 1)), source)
+        if piece == LOG_PIECES - 1:
+            end_log(spark, source, high, width)
+        rollup = streamed_rollup(stream_log(spark, source), BATCHES_PER_EPOCH, late_epochs=width)
+        write_rollup_stream(rollup, sink, marks).awaitTermination()
+    return spark.read.parquet(sink).withColumn("avg_value", F.round("avg_value", 6))
+
+
 def _best_so_far(spark, d):
     rolled = metric_rollup(metric_log(spark, d), BATCHES_PER_EPOCH)
     losses = rolled.select("tag", "epoch", F.col("avg_value").alias("loss"))
@@ -580,6 +647,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_json": lambda spark, d: _reread(spark, d, "json"),
     "read_orc": lambda spark, d: _reread(spark, d, "orc"),
     "read_csv": _read_csv,
+    "damaged_json": _damaged_json,
+    "damaged_csv": _damaged_csv,
     "first_n": _first_n,
     "first_n_shuffled": _first_n_shuffled,
     "first_n_per_split": _first_n_per_split,
@@ -624,11 +693,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detokenize": _detokenize,
     "token_ce": _token_ce,
     "argmax": _argmax,
+    "sharded_scores": _sharded_scores,
+    "sharded_batch_loss": _sharded_batch_loss,
     "batch_loss": _batch_loss,
     "epoch_loss": _epoch_loss,
     "validation_report": _validation_report,
     "cut_at_end": _cut_at_end,
     "decode_generated": _decode_generated,
     "metric_rollup": _metric_rollup,
+    "metric_rollup_streamed": _streamed_rollup,
     "best_so_far": _best_so_far,
 }

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twintext.functions.scoring import argmax_token, global_step, token_cross_entropy
@@ -43,9 +43,24 @@ def batch_loss(
     A batch of padding only has no loss (NaN).
     """
     cost = token_cross_entropy(F.col(logits), F.col(label), pad_id)
+    return _mean_cost(scored, cost, keys, label, pad_id)
+
+
+def batch_loss_of_costs(
+    costs: DataFrame,
+    keys: Sequence[str] = ("batch_id",),
+    cost: str = "cross_entropy",
+    label: str = "label",
+    pad_id: int = _DEFAULTS.pad_id,
+) -> DataFrame:
+    """:func:`batch_loss` where each row holds its cross-entropy already."""
+    return _mean_cost(costs, F.col(cost), keys, label, pad_id)
+
+
+def _mean_cost(rows: DataFrame, cost: Column, keys: Sequence[str], label: str, pad_id: int) -> DataFrame:
     real = F.count_if(F.col(label) != pad_id)
     return (
-        scored.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.sum(cost).alias("__cost"), real.alias("n_tokens"))
         .withColumn(
             "loss",
