@@ -40,6 +40,8 @@ _DATE = "1970-01-01T00:00:00Z"  # the pages carry no time
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = "urn:page:"
 _CHUNK = 1 << 20
+_RANGE_BYTES = 1 << 22  # of neighbouring records in one request
+_TASK_BYTES = 1 << 26  # of compressed records to a reading task
 
 RECORD = (
     "archive string, offset long, id long, record_type string, target_uri string, refers_to long, "
@@ -123,11 +125,13 @@ def with_record_types(
     rows = pages.select(
         F.col(page_id).cast("long").alias("id"), F.col(url).alias("url"), payload.alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
-    long_enough = rows.where(F.octet_length("payload") >= least_bytes).select("id", "digest")
-    first = long_enough.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    first = scratch.write(first.where("n > 1").drop("n"), "repeated")
-    again = F.when(F.col("id") != F.col("first"), F.col("first"))
-    return rows.join(first, "digest", "left").select("id", "url", "payload", "digest", again.alias("refers_to"))
+    # Ids and digests first: payloads meet what was found by id, so equal ones stay spread.
+    long_enough = rows.where(F.octet_length("payload") >= least_bytes).where("id IS NOT NULL")
+    named = scratch.write(long_enough.select("id", "digest"), "named")
+    first = named.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = named.join(first.drop("n"), "digest").where("id <> first")
+    again = scratch.write(again.select("id", "digest", F.col("first").alias("refers_to")).distinct(), "repeated")
+    return rows.join(again, ["id", "digest"], "left").select("id", "url", "payload", "digest", "refers_to")
 
 
 def write_archives(
@@ -327,8 +331,34 @@ def locate_records(archives: DataFrame) -> DataFrame:
     return spread.mapInArrow(run, "archive string, offset long, length long")
 
 
+def _runs(offsets: list[int], lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of records that lie one behind the other, of up to ``most`` bytes or one record."""
+    start = 0
+    for k in range(1, len(offsets) + 1):
+        if (
+            k == len(offsets)
+            or offsets[k] != offsets[k - 1] + lengths[k - 1]
+            or offsets[k] + lengths[k] - offsets[start] > most
+        ):
+            yield start, k
+            start = k
+
+
+def read_tasks(places: DataFrame) -> int:
+    """Tasks to read with, by the bytes of the records: 64 MB each, fewer where that leaves cores idle."""
+    size = places.agg(F.sum("length")).first()[0] or 0
+    cores = places.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size // _TASK_BYTES), min(cores, -(-size // _RANGE_BYTES)))
+
+
 def read_records(places: DataFrame) -> DataFrame:
-    """The records at ``(archive, offset, length)``, each read by its range."""
+    """The records at ``(archive, offset, length)``, each read by its range.
+
+    Records that lie one behind the other are read in one request of up to 4 MB
+    and cut. Places are dealt in stretches of that size, to a number of tasks that
+    follows the bytes to be read, not the size of the index; for that number
+    ``places`` is computed once more, so it should be a stored table.
+    """
     ship_package(places.sparkSession)
     schema = pa.schema(
         [("archive", pa.string()), ("offset", pa.int64()), ("id", pa.int64()), ("record_type", pa.string()),
@@ -339,27 +369,31 @@ def read_records(places: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from twintext.llm import warc_archives as here
 
-        path, file = None, None
         rows, held = [], 0
         for batch in batches:
-            for archive, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
-                if archive != path:
-                    if file:
-                        file.close()
-                    system, inside = here._file_system(archive)
-                    path, file = archive, system.open_input_file(inside)
-                row = here.parsed_record(here._at(file, offset, length))
-                rows.append((archive, offset, *row))
-                held += len(row[-1] or b"") + 200
-                if held > 1 << 24:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, held = [], 0
-        if file:
-            file.close()
+            archives, offsets, lengths = (c.to_pylist() for c in batch.columns)
+            cuts = [k for k in range(1, len(archives)) if archives[k] != archives[k - 1]]
+            for low, high in zip([0, *cuts], [*cuts, len(archives)]):
+                if low == high:
+                    continue
+                system, inside = here._file_system(archives[low])
+                with system.open_input_file(inside) as file:
+                    for start, end in here._runs(offsets[low:high], lengths[low:high], here._RANGE_BYTES):
+                        base = offsets[low + start]
+                        data = here._at(file, base, offsets[low + end - 1] + lengths[low + end - 1] - base)
+                        for k in range(low + start, low + end):
+                            at = offsets[k] - base
+                            row = here.parsed_record(data[at : at + lengths[k]])
+                            rows.append((archives[k], offsets[k], *row))
+                            held += len(row[-1] or b"") + 200
+                            if held > 1 << 24:
+                                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                                rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    dealt = places.select("archive", "offset", "length").repartition("archive", (F.col("offset") / _CHUNK).cast("long"))
+    stretch = F.call_function("div", F.col("offset"), F.lit(_RANGE_BYTES))
+    dealt = places.select("archive", "offset", "length").repartition(read_tasks(places), "archive", stretch)
     return dealt.sortWithinPartitions("archive", "offset").mapInArrow(run, RECORD)
 
 
@@ -372,7 +406,7 @@ def written_and_read(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     spark: SparkSession = pages.sparkSession
     scratch = Scratch(spark, "warc")
     manifest = write_archives(pages, f"{scratch.base}/archives", scratch, least_bytes)
-    records = read_records(locate_records(manifest))
+    records = read_records(scratch.write(locate_records(manifest), "places"))
     full = F.col("record_type") == "response"
     return records.select(
         F.col("id").alias("page_id"),
