@@ -12,6 +12,14 @@ first, give the whole dialogue.
 
 Rows equal in all four columns are one turn if they have a conversation id and a
 turn number; without one of them nothing says so, and each is a turn of its own.
+Marks inside what is said are escaped, so a turn cannot pose as another: each
+``<|`` gets a backslash between its two characters, behind those it may have
+already, which taking one away undoes. In names, backslashes are doubled and line
+breaks written as ``\\n`` and ``\\r`` before that. All other text stays as it is.
+
+A dialogue gives one rendering per participant: the output is turns times
+participants, which is the feature.
+
 Rows without a conversation id are one dialogue, rows without a turn number come first, a null text is empty, and a
 turn without a role is said by a user without a name, who is no participant. A
 dialogue without participants has no rows; an empty table gives none. Texts are
@@ -29,8 +37,18 @@ SYSTEM = "system"
 _OPEN, _CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
+def _escaped(text: Column) -> Column:
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
+
+
+def _name(role: Column) -> Column:
+    plain = F.replace(role, F.lit("\\"), F.lit("\\\\"))
+    plain = F.replace(F.replace(plain, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    return _escaped(plain)
+
+
 def _header(role: Column, speaker: Column) -> Column:
-    named = F.when(role.isNull(), F.lit("user")).otherwise(F.concat(F.lit("user name="), role))
+    named = F.when(role.isNull(), F.lit("user")).otherwise(F.concat(F.lit("user name="), _name(role)))
     kind = F.when(role == speaker, "assistant").when(role == SYSTEM, SYSTEM).otherwise(named)
     return F.concat(F.lit(_OPEN), kind, F.lit("\n"))
 
@@ -38,7 +56,8 @@ def _header(role: Column, speaker: Column) -> Column:
 def segments(turns: DataFrame, turns_per_part: int = 32, crowd: int = 64) -> DataFrame:
     """Every turn from every point of view: one row per turn and participant.
 
-    ``(conv_id, speaker, block, crowded_turn, lane, turn, role, text, header, trained)``
+    ``(conv_id, speaker, block, crowded_turn, lane, turn, role, text, header, trained)``,
+    ``text`` with marks escaped.
     """
     scratch = Scratch(turns.sparkSession, "chat-format")
     counted = turns.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("__times"))
@@ -61,7 +80,7 @@ def segments(turns: DataFrame, turns_per_part: int = 32, crowd: int = 64) -> Dat
         "conv_id",
         "turn",
         "role",
-        F.coalesce("text", F.lit("")).alias("text"),
+        _escaped(F.coalesce("text", F.lit(""))).alias("text"),
         F.floor(F.col("turn") / turns_per_part).cast("long").alias("block"),
         F.when(F.col("__n").isNotNull(), F.col("turn")).alias("crowded_turn"),
         F.coalesce(F.pmod(hashed, lanes).cast("int"), F.lit(0)).alias("lane"),

@@ -167,9 +167,12 @@ ORACLES = {
         WITH t AS (SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
         s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
         g AS (
-            SELECT conv_id, speaker, turn, role, text, turn // 32 AS block, coalesce(role = speaker, false) AS trained,
+            SELECT conv_id, speaker, turn, role, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS text,
+                   turn // 32 AS block, coalesce(role = speaker, false) AS trained,
                    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
-                       WHEN role IS NULL THEN 'user' ELSE 'user name=' || role END || chr(10) AS header
+                       WHEN role IS NULL THEN 'user' ELSE 'user name=' || regexp_replace(
+                           replace(replace(replace(role, '\', '\\'), chr(10), '\n'), chr(13), '\r'),
+                           '<(\\*)\|', '<\1\\|', 'g') END || chr(10) AS header
             FROM t JOIN s USING (conv_id)),
         r AS (
             SELECT *, header || text || '<|im_end|>' || chr(10) AS rendered FROM g),
