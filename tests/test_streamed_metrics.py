@@ -67,6 +67,13 @@ def test_nulls(spark, tmp_path):
     assert log.run() == sorted([("loss", 0, 2.0, 2, 1, 1), (None, 0, 3.0, 1, 1, 1)], key=str)
 
 
+def test_state_has_partitions_of_its_own(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    log = stream_log(spark, str(tmp_path), state_partitions=3)
+    assert log.sparkSession.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         streamed_rollup(stream_log(spark, str(tmp_path)), 1, late_epochs=-1)

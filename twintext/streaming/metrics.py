@@ -19,14 +19,27 @@ from twintext.operators.evaluate import metric_rollup
 
 LOG_SCHEMA = "tag string, epoch int, batch int, value double"
 _TIME = "__time"
+_STATE_PARTITIONS = 8
 _START = 1 << 32  # seconds; nothing may come before the first watermark, which is zero
 
 
 def stream_log(
-    spark: SparkSession, path: str, schema: str = LOG_SCHEMA, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str = LOG_SCHEMA,
+    files_per_batch: int | None = None,
+    state_partitions: int = _STATE_PARTITIONS,
 ) -> DataFrame:
-    """The entries of a log of Parquet files as they appear in a directory."""
-    reader = spark.readStream.schema(schema)
+    """The entries of a log of Parquet files as they appear in a directory.
+
+    Every micro-batch writes each partition of the state, which holds a few rows
+    per open epoch. So the stream has a session of its own, whose number of
+    partitions follows the state and not the tables of the caller's session. The
+    first start of a checkpoint fixes the number.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    reader = own.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
