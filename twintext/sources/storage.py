@@ -191,9 +191,9 @@ class Snapshots:
         self._version = 0
         self._path: str | None = None
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, *partitions: str) -> DataFrame:
         path = join_path(self._base, f"v{self._version}")
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
         if self._path:
             delete_path(self._spark, self._path)
         self._version += 1
