@@ -47,6 +47,7 @@ from twintext.operators.filters import (
     split_counts,
     validity_report,
 )
+from twintext.operators.indexed_bpe import train_bpe_indexed
 from twintext.operators.pair_counts import count_adjacent_pairs
 from twintext.operators.permutation import permuted_batches, permuted_epoch, read_batches, store_positions
 from twintext.operators.sharded import shard_logits, sharded_scores
@@ -78,6 +79,8 @@ TGT_LIMIT = 2000  # the given replies are longer than the default limit
 PAIR_MERGES = 244
 DOCUMENT_MERGES = 8
 LARGE_VOCABULARY = 520
+INDEXED_VOCABULARY = 640
+INDEXED_BLOCK = 4096
 PAD_LABEL = 9
 BATCHES_PER_EPOCH = 24
 POSITIONS_TO_A_PART = 100
@@ -369,6 +372,11 @@ def _bpe_merges_documents_full(spark, d):
     return merges_table(spark, document_merges(spark, d, 244))
 
 
+def _bpe_merges_documents_indexed(spark, d):
+    corpus = text_corpus(documents(spark, d, "text"), "doc_id")
+    return merges_table(spark, train_bpe_indexed(corpus, INDEXED_VOCABULARY, block_tokens=INDEXED_BLOCK))
+
+
 def _bpe_merges_full(spark, d):
     return merges_table(spark, pair_merges(spark, d, 244))
 
@@ -667,6 +675,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bpe_merges_8": _bpe_merges,
     "bpe_merges_244": _bpe_merges_full,
     "bpe_merges_documents_244": _bpe_merges_documents_full,
+    "bpe_merges_documents_indexed": _bpe_merges_documents_indexed,
     "bpe_vocabulary": _bpe_vocabulary,
     "bpe_encode": _bpe_encode,
     "bpe_encode_documents": _bpe_encode_documents,
