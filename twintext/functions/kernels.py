@@ -19,9 +19,8 @@ DENSE_LIMIT = 2048  # up to here a square table over token pairs fits a task
 _PIECE_BYTES = 1 << 20  # rows are handled in pieces of about this size
 
 
-def slicer() -> Callable:
+def slicer(limit: int = _PIECE_BYTES) -> Callable:
     """Cut a column (or batch) into zero-copy pieces of bounded size."""
-    limit = _PIECE_BYTES
 
     def pieces(rows, nbytes):
         step = max(1, len(rows) * limit // max(nbytes, 1))
@@ -156,13 +155,17 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
     files the new neighbours under later merges. The work is thus one lookup
     per token and a constant per merge carried out, whatever the number of
     merges in the vocabulary.
+
+    ``beside`` is told of each merge carried out: its rank, its places, and the
+    tokens before them, those before them once merged, and those behind them, the
+    last without places that another one follows (the mask says which are left).
     """
     base = vocab_size + 1
     ordered = sorted((tuple(m) for m in merges), key=lambda m: m[2])
     dense = vocab_size <= DENSE_LIMIT
     rank_of = pair_index([m[:2] for m in ordered], vocab_size)
 
-    def merge(tokens):
+    def merge(tokens, beside=None):
         size, never = len(tokens), len(ordered)
         if not never or size < 3:
             return tokens
@@ -205,10 +208,17 @@ def merger(merges: Sequence[tuple[int, int, int]], vocab_size: int) -> Callable:
                 continue
             gone = following[at]
             after = following[gone]
+            if beside:
+                # In front of the first token is -1: the last one, which closes a row.
+                led = token[previous[at]]
+                apart = np.append(after[:-1] != at[1:], True)
+                follow = token[after[apart]]
             token[at] = merged
             token[gone] = -1
             following[at] = after
             previous[after] = at
+            if beside:
+                beside(rank, at, (led, None), (token[previous[at]], None), (follow, apart))
             before = previous[at]
             behind = at[before >= 0]
             before = before[before >= 0]

@@ -17,6 +17,7 @@ from twintext.functions.tokens import (
     replace_pairs,
 )
 from twintext.operators.corpus import collapse_equal
+from twintext.operators.foreseen_merges import line_limit, renumbered, settle_foreseen
 from twintext.operators.merge_order import PairCount, certain_merges
 from twintext.operators.pair_counts import corpus_column, count_adjacent_pairs, keyed_pair_counts
 from twintext.params import BYTE_TOKENS, PrepParams, special_tokens
@@ -26,6 +27,8 @@ _DEFAULTS = PrepParams()
 _ROWS = 2048  # result rows of one pass over the corpus
 _WATCHED = 32  # pairs whose overlaps are counted along
 _REWRITE_SHARE = 0.2  # rewrite the corpus once merges have removed this share of it
+_FORESEEN = 1 << 24  # bytes of rows whose merges are learned first, to foresee those of all rows
+_FEW, _PATIENCE = 8, 3  # so many passes may settle fewer foreseen merges, then the line is given up
 
 MERGES_SCHEMA = "rank int, left int, right int, token int"
 VOCABULARY_SCHEMA = "token int, bytes binary, is_special boolean"
@@ -57,44 +60,86 @@ def train_bpe(
     as token ids, whenever merges have removed ``rewrite_share`` of its pairs.
     ``collapse`` combines equal texts first, at the cost of a shuffle of all
     texts. Training ends early when no row has a pair left.
+
+    Of a corpus much larger than ``_FORESEEN`` bytes, so many are trained on
+    first. The merges found there are what a pass over all rows then carries out
+    and counts along, see :mod:`~twintext.operators.foreseen_merges`; every merge
+    is settled by counts over all rows.
     """
-    wanted = vocab_size - BYTE_TOKENS
-    merges: list[Merge] = []
-    if wanted <= 0:
-        return merges
+    if vocab_size <= BYTE_TOKENS:
+        return []
     snapshots = Snapshots(corpus.sparkSession)
     try:
         # Equal texts are combined once, not in every pass.
         stored = snapshots.write(collapse_equal(corpus)) if collapse else corpus
-        pending: list[Merge] = []
-        stored_pairs, by_place, watched = None, False, []
-        while len(merges) < wanted:
-            size = BYTE_TOKENS + len(merges)
-            counts = _count(stored, size, by_place, pending, watched)
-            if not counts.leaders:
-                break
-            stored_pairs = stored_pairs or counts.n_pairs
-            if counts.n_pairs <= (1 - rewrite_share) * stored_pairs:
-                stored = snapshots.write(_merged(stored, pending))
-                stored_pairs, pending = counts.n_pairs, []
-            batch, line = certain_merges(
-                counts.leaders,
-                wanted - len(merges),
-                size,
-                by_place,
-                len(counts.leaders) + len(counts.overlaps) < _ROWS,
-                watched,
-                counts.overlaps,
-            )
-            # Without a result the top count is shared: from here on places are tracked too.
-            by_place = by_place or not batch
-            watched = line[:_WATCHED] if batch else watched
-            for pair in batch:
-                merge = Merge(pair.left, pair.right, BYTE_TOKENS + len(merges))
-                merges.append(merge)
-                pending.append(merge)
+        return _learn(stored, vocab_size, rewrite_share, snapshots, _foreseen(stored, vocab_size))
     finally:
         snapshots.close()
+
+
+def _foreseen(corpus: DataFrame, vocab_size: int) -> list[Merge]:
+    """Merges of about ``_FORESEEN`` bytes of a large corpus; none of a small one."""
+    if not line_limit(vocab_size):
+        return []
+    size = corpus.agg(F.sum(F.octet_length(corpus_column(corpus)))).first()[0] or 0
+    if size <= 4 * _FORESEEN:
+        return []
+    parts = 1 << 20
+    part = F.pmod(F.xxhash64("ord", "side"), F.lit(parts))
+    snapshots = Snapshots(corpus.sparkSession)
+    try:
+        some = snapshots.write(corpus.where(part < parts * _FORESEEN // size))
+        return _learn(some, vocab_size, _REWRITE_SHARE, snapshots)
+    finally:
+        snapshots.close()
+
+
+def _learn(
+    stored: DataFrame,
+    vocab_size: int,
+    rewrite_share: float,
+    snapshots: Snapshots,
+    line: Sequence[Merge] = (),
+) -> list[Merge]:
+    """Merges by passes over the corpus, along ``line`` as long as that settles many."""
+    wanted = vocab_size - BYTE_TOKENS
+    merges: list[Merge] = []
+    pending: list[Merge] = []
+    stored_pairs, by_place, watched, patience = None, False, [], _PATIENCE
+    while len(merges) < wanted:
+        size = BYTE_TOKENS + len(merges)
+        if line and patience:
+            found = settle_foreseen(stored, pending, line, wanted - len(merges), vocab_size)
+            learned = [Merge(*pair, size + k) for k, pair in enumerate(found.merges)]
+            merges, pending = merges + learned, pending + learned
+            line, stored_pairs = found.line, stored_pairs or found.n_pairs
+            patience -= len(learned) < _FEW
+            by_place |= found.tied
+            if learned and not found.tied:
+                continue
+            size = BYTE_TOKENS + len(merges)
+        counts = _count(stored, size, by_place, pending, watched)
+        if not counts.leaders:
+            break
+        stored_pairs = stored_pairs or counts.n_pairs
+        if counts.n_pairs <= (1 - rewrite_share) * stored_pairs:
+            stored = snapshots.write(_merged(stored, pending))
+            stored_pairs, pending = counts.n_pairs, []
+        batch, follow = certain_merges(
+            counts.leaders,
+            wanted - len(merges),
+            size,
+            by_place,
+            len(counts.leaders) + len(counts.overlaps) < _ROWS,
+            watched,
+            counts.overlaps,
+        )
+        # Without a result the top count is shared: from here on places are tracked too.
+        by_place = by_place or not batch
+        watched = follow[:_WATCHED] if batch else watched
+        learned = [Merge(pair.left, pair.right, size + k) for k, pair in enumerate(batch)]
+        merges, pending = merges + learned, pending + learned
+        line = renumbered(line, [m[:2] for m in learned], size)
     return merges
 
 

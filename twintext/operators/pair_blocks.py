@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pyarrow as pa
 
-from twintext.functions.kernels import merger, pair_index, reader_of
+from twintext.functions.kernels import merger, pair_index, reader_of, slicer
 from twintext.functions.tokens import Merge
 
 BLOCK_SCHEMA = "cell int, block long, ids binary, ords binary, sides binary, weights binary"
@@ -20,6 +20,7 @@ CHANGE_SCHEMA = "kind int, pair long, n long, cell int, block long"
 COUNT, POSTING = 0, 1  # kinds of rows of a change
 DESCRIPTION_SCHEMA = "key long, n long, ord long, side int, pos int"
 _JOINED = 1 << 18  # tokens that are merged in one array
+_HELD = 1 << 22  # bytes of blocks that a task takes apart at a time, whatever the size of an Arrow batch
 _MARK = -1  # closes a row in stored blocks, whatever the size of the vocabulary
 
 
@@ -29,11 +30,11 @@ def block_writer(column: str, vocab_size: int, block_tokens: int, n_cells: int)
     Rows are never cut, so a longer one is a block of its own. A block's number
     is unique, as it begins with the number of the task's partition.
     """
-    read, mark = reader_of(column, vocab_size), _MARK
+    read, mark, pieces = reader_of(column, vocab_size), _MARK, slicer()
 
     def write(batches):
         made = 0
-        for whole in batches:
+        for whole in (piece for batch in batches for piece in pieces(batch, batch.nbytes)):
             places = [whole.column(k).to_numpy() for k in (1, 2)]
             rows = whole.take(pa.array(np.lexsort(places[::-1])))
             if not len(rows):
@@ -99,10 +100,10 @@ def block_reader(vocab_size: int, pending: Sequence[Merge]) -> Callable:
 
 def block_merger(vocab_size: int, pending: Sequence[Merge]) -> Callable:
     """Blocks to blocks with the merges carried out."""
-    read, mark = block_reader(vocab_size, pending), _MARK
+    read, mark, pieces = block_reader(vocab_size, pending), _MARK, slicer(_HELD)
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, whole.nbytes)):
             blocks = []
             for tokens in read(batch.column(2)):
                 blocks.append(np.where(tokens == vocab_size, mark, tokens).astype("int32").tobytes())
@@ -144,7 +145,7 @@ def change_counter(
     """
     read, count = block_reader(vocab_size, pending), _counter(vocab_size)
     merge = joined_merger(vocab_size, batch or ())
-    whole, base = batch is None, vocab_size + 1
+    pieces, whole, base = slicer(_HELD), batch is None, vocab_size + 1
     youngest = 0 if whole else min((m.token for m in batch), default=vocab_size)
     signed, posting = COUNT, POSTING
 
@@ -163,7 +164,7 @@ def change_counter(
         )
 
     def run(batches):
-        for stored in batches:
+        for stored in (piece for held in batches for piece in pieces(held, held.nbytes)):
             keys, sums, new, cells, blocks = [], [], [], [], []
             present = read(stored.column(2))
             merged = present if whole else merge(present)
@@ -203,11 +204,11 @@ def pair_describer(
     ``-1 - (i * len(watched) + j)`` for the number of places where the j-th
     starts at the second token of the i-th.
     """
-    read, base = block_reader(vocab_size, pending), vocab_size + 1
+    read, pieces, base = block_reader(vocab_size, pending), slicer(_HELD), vocab_size + 1
     size, watch_of = len(watched), pair_index(watched, vocab_size)
 
     def run(batches):
-        for stored in batches:
+        for stored in (piece for held in batches for piece in pieces(held, held.nbytes)):
             out = [[] for _ in range(5)]
             for k, block in enumerate(read(stored.column(2))):
                 tokens = block.astype("int64")
@@ -250,10 +251,10 @@ def pair_describer(
 
 def place_finder(vocab_size: int, pending: Sequence[Merge]) -> Callable:
     """Blocks to the first place ``(key, n, ord, side, pos)`` of every pair in them."""
-    read, base = block_reader(vocab_size, pending), vocab_size + 1
+    read, pieces, base = block_reader(vocab_size, pending), slicer(_HELD), vocab_size + 1
 
     def run(batches):
-        for stored in batches:
+        for stored in (piece for held in batches for piece in pieces(held, held.nbytes)):
             for k, block in enumerate(read(stored.column(2))):
                 tokens = block.astype("int64")
                 inside = np.flatnonzero((tokens[:-1] != vocab_size) & (tokens[1:] != vocab_size))
