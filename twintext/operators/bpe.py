@@ -115,6 +115,9 @@ def _learn(
             line, stored_pairs = found.line, stored_pairs or found.n_pairs
             patience -= len(learned) < _FEW
             by_place |= found.tied
+            if pending and found.n_left <= (1 - rewrite_share) * stored_pairs:
+                stored = snapshots.write(_merged(stored, pending))
+                stored_pairs, pending = found.n_left, []
             if learned and not found.tied:
                 continue
             size = BYTE_TOKENS + len(merges)

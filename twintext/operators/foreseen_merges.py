@@ -7,12 +7,12 @@ merge of the line, which show how far the line is the one that counting after
 each merge would have taken. What is foreseen decides the number of passes,
 never the merges.
 
-The order of neighbours in a line need not be right. Where the next *k* of the
-line are the *k* most frequent pairs of all, with *k* different counts, and none
-of them touches another, they are merged in the order of these counts: a merge
-leaves the counts of pairs it does not touch alone, a pair made by one of them
-is at most as frequent as the pair at that place before, which touches it and
-so is none of the *k*, and other pairs only lose occurrences.
+The order of neighbours in a line need not be right. The most frequent pair may
+be one that stands further down, with some before it passed over. Where it
+touches none of these, merging it first leaves the same tokens as merging it in
+its place, so what was counted along the line holds: it tells of neighbours with
+the passed merges carried out, and these neighbours are taken apart again. The
+counts of all pairs are thus exact whenever the next merge is chosen.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from twintext.functions.tokens import Merge
 from twintext.operators.pair_counts import corpus_column
 
 _CELLS = 1 << 20  # counts that a line may change, at most; they go to the driver
-_SWAPPED = 16  # neighbours of a line that may stand in another order
+_SWAPPED = 64  # merges of a line that may be passed over
 
 
 class Settled(NamedTuple):
@@ -40,6 +40,7 @@ class Settled(NamedTuple):
     tied: bool  # the top count is shared, so places have to decide
     line: list[Merge]  # what is foreseen to follow
     n_pairs: int  # at the start of the pass
+    n_left: int  # behind its merges, but for one that is not of the line
 
 
 def line_limit(vocab_size: int) -> int:
@@ -57,28 +58,35 @@ def settle_foreseen(
     vocab_size = size + len(line)
     counts, moved = _played(corpus, vocab_size, pending, line)
     n_pairs = int(counts.sum())
-    taken, done = [], 0
-    while done < len(line) and len(taken) < limit:
-        group = _leading(counts, line[done:])
-        if not group:
-            break
-        taken += group
-        for k in range(done, done + len(group)):
-            _carry_out(counts, line[k], moved[k])
-        done += len(group)
-    tied, top = False, None
-    if len(taken) < limit:
-        (first, n), (_, rival) = _top(counts, 2)
+    taken: list[Merge] = []
+    passed: list[int] = []  # places of merges that wait for later ones
+    done, tied, top = 0, False, None
+    while len(taken) < limit:
+        present = _unmerged(counts, [line[k] for k in passed])
+        (pair, n), (_, rival) = _top(present, 2)
         tied = n > 0 and n == rival
-        if n > rival:
-            top = first
+        if n <= rival:
+            break
+        ahead = [*passed, *range(done, min(done + _SWAPPED, len(line)))]
+        place = next((k for k in ahead if line[k][:2] == pair), None)
+        before = [k for k in ahead if place is not None and k < place]
+        if place is None or len(before) > _SWAPPED or any(_touch(line[k], line[place]) for k in before):
+            top = pair  # certain, but what follows from it was not counted
+            break
+        taken.append(line[place])
+        _carry_out(counts, line[place], moved[place])
+        done = max(done, place + 1)
+        passed = sorted({*passed, *before} - {place})
+    n_left = int(counts.sum())
     names = {}
     merges = []
-    for pair, token in [*((m[:2], m.token) for m in taken[:limit]), *([(top, None)] if top else [])]:
+    for pair, token in [*((m[:2], m.token) for m in taken), *([(top, None)] if top else [])]:
         names[token] = size + len(merges)
         merges.append(tuple(names.get(t, t) for t in pair))
-    ordered = [*line[:done], *_likely(counts, line, done, moved, top), *further]
-    return Settled(merges, tied, renumbered(ordered, merges, size), n_pairs)
+    rest = [*passed, *range(done, len(line))]
+    likely = _likely(counts, [line[k] for k in rest], moved[rest], top, limit - len(merges))
+    line = renumbered([*taken, *likely, *further], merges, size)
+    return Settled(merges, tied, line, n_pairs, n_left)
 
 
 def renumbered(
@@ -107,22 +115,22 @@ def _top(counts: np.ndarray, k: int) -> list[tuple[tuple[int, int], int]]:
     return [(divmod(int(key), counts.shape[1]), int(flat[key])) for key in keys]
 
 
-def _leading(counts: np.ndarray, line: Sequence[Merge]) -> list[Merge]:
-    """The fewest next merges of the line that are certain, in their order."""
-    top = _top(counts, _SWAPPED + 1)
-    places = {pair: k for k, (pair, _) in enumerate(top)}
-    last = 0
-    for k, merge in enumerate(line[:_SWAPPED]):
-        place = places.get(merge[:2], _SWAPPED)
-        # Equal counts among them, or with the next one, leave the order open.
-        if place == _SWAPPED or top[place][1] <= top[place + 1][1]:
-            return []
-        last = max(last, place)
-        if last == k:
-            group = sorted(line[: k + 1], key=lambda m: places[m[:2]])
-            lefts, rights = {m.left for m in group}, {m.right for m in group}
-            return group if k == 0 or not lefts & rights else []
-    return []
+def _touch(first: Merge, second: Merge) -> bool:
+    """Whether a merge that comes before another one matters to it."""
+    return first.left == second.right or first.right == second.left or first.token in second[:2]
+
+
+def _unmerged(counts: np.ndarray, passed: Sequence[Merge]) -> np.ndarray:
+    """The counts with the tokens of merges that were passed over taken apart where they stand beside others."""
+    if not passed:
+        return counts
+    counts = counts.copy()
+    for merge in reversed(passed):
+        counts[merge.right] += counts[merge.token]
+        counts[merge.token] = 0
+        counts[:, merge.left] += counts[:, merge.token]
+        counts[:, merge.token] = 0
+    return counts
 
 
 def _carry_out(counts: np.ndarray, merge: Merge, moved: np.ndarray) -> None:
@@ -137,30 +145,33 @@ def _carry_out(counts: np.ndarray, merge: Merge, moved: np.ndarray) -> None:
 
 
 def _likely(
-    counts: np.ndarray, line: Sequence[Merge], done: int, moved: np.ndarray, top: tuple[int, int] | None
+    counts: np.ndarray,
+    line: Sequence[Merge],
+    moved: np.ndarray,
+    top: tuple[int, int] | None,
+    room: int,
 ) -> list[tuple[int, int, int | None]]:
-    """The rest of a line by the counts found along it, with pairs that it lacks; the counts are used up."""
-    rest = {m[:2] for m in line[done:]}
+    """What is left of a line by the counts found along it, with ``room`` pairs that it lacks; the counts are used up."""
+    rest = {m[:2] for m in line}
     others = counts.copy()  # of pairs that the line lacks
     found: list[tuple[int, tuple[int, int, int | None]]] = []
     if top and top not in rest:
         found.append((int(counts[top]), (*top, None)))
-    for pair in [*rest, *([top] if top else [])]:
-        others[pair] = 0
-    for k in range(done, len(line)):
+    known = [*rest, *([top] if top else [])]
+    held = np.zeros(counts.shape, bool)
+    held[tuple(np.array(known, "int64").reshape(-1, 2).T)] = True
+    others[held] = 0
+    for k in range(len(line)):
         n = int(counts[line[k][:2]])
-        (pair, rival), = _top(others, 1)
-        while rival > n:
-            found.append((rival, (*pair, None)))
-            rest.add(pair)
-            others[pair] = 0
-            (pair, rival), = _top(others, 1)
+        # A line settles ``room`` merges at most, so no more pairs are worth a place in it.
+        while room and others.max() > n:
+            pair = divmod(int(others.argmax()), counts.shape[1])
+            found.append((int(others[pair]), (*pair, None)))
+            held[pair], others[pair] = True, 0
+            room -= 1
         found.append((n, tuple(line[k])))
-        before = counts.copy()
         _carry_out(counts, line[k], moved[k])
-        others += counts - before
-        for pair in rest | ({top} if top else set()):
-            others[pair] = 0
+        others = np.where(held, 0, counts)
     # A pair is at most as frequent as its tokens, which stand before it if equal.
     return [m for n, m in sorted(found, key=lambda f: -f[0]) if n > 0]
 
