@@ -3,9 +3,9 @@
 Texts are cut into pieces at punctuation and line ends, pieces into words at
 spaces and tabs; A-Z count as lower case. Only windows of the longest length are
 counted, one per word: the word and, in columns that lead it, those that follow
-in its piece, padded at the end. ``ROLLUP`` over the prefixes of the windows sums
-these counts to those of all shorter phrases, as a shorter phrase stands
-wherever a window begins with it; no shorter window is ever made.
+in its piece, padded at the end. Their counts are summed to those of all shorter
+phrases, word by word, as a shorter phrase stands wherever a window begins with
+it; no shorter window is ever made.
 
 Windows travel as short codes. The most frequent words, at most ``CODES`` of
 them, of 1 KB each and 32 MB together, have codes that are sent to all tasks;
@@ -233,28 +233,18 @@ def longest_windows(
 
 def phrase_counts(windows: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``(lang, size, window, f)``: phrases of 1 to ``longest`` words with ``least`` occurrences or more."""
-    sized = windows.withColumn("words", F.split("window", " ")).withColumn("size", F.size("words"))
-    # Null where the window is shorter.
-    names = [f"w{k}" for k in range(1, rule.longest)]
-    words = [F.get("words", F.lit(k)).alias(w) for k, w in enumerate(names)]
-    summed = sized.select("lang", *words, "f").rollup("lang", *names)
-    summed = summed.agg(F.sum("f").alias("f"), F.grouping_id().alias("rolled"))
-    # The last bits of grouping_id() tell which columns were summed up.
-    level = reduce(
-        lambda other, k: F.when(F.col("rolled") == 2 ** (len(names) - k) - 1, k).otherwise(other),
-        range(1, len(names) + 1),
-        F.lit(None),
-    )
-    summed = summed.where(F.col("f") >= rule.least).withColumn("size", level).where("size IS NOT NULL")
-    taken = [F.when(F.col("size") >= k, F.col(w)) for k, w in enumerate(names, 1)]
-    # A null that was not summed up is padding.
-    whole = reduce(lambda other, k: other & ((F.col("size") < k) | F.col(names[k - 1]).isNotNull()),
-                   range(1, len(names) + 1), F.lit(True))
-    shorter = summed.where(whole).select("lang", "size", F.concat_ws(" ", *taken).alias("window"), "f")
-    # Asked for with the count, as a filter on the size alone would move below the
-    # shuffle of the windows, which then would be made twice.
-    full = sized.where(F.when(F.col("size") == rule.longest, F.col("f")).otherwise(0) >= rule.least)
-    return shorter.unionByName(full.select("lang", F.col("size").cast("int").alias("size"), "window", "f"))
+    kept, level = [], windows
+    for size in range(rule.longest, 0, -1):
+        if size < rule.longest:
+            # Sums of sums: phrases of one more word, and windows that end before it, by what they begin with.
+            begin = F.substring_index("window", " ", size).alias("window")
+            level = level.select("lang", begin, "f").groupBy("lang", "window").agg(F.sum("f").alias("f"))
+        words = F.size(F.split("window", " "))
+        # Asked for with the count, as a filter on the size alone would move below the
+        # shuffle of the windows, which then would be made twice.
+        full = level.where(F.when(words == size, F.col("f")).otherwise(0) >= rule.least)
+        kept.append(full.select("lang", F.lit(size).alias("size"), "window", "f"))
+    return reduce(DataFrame.unionByName, kept)
 
 
 def _spelled(counts: DataFrame, codes: Codes) -> DataFrame:
