@@ -99,3 +99,15 @@ def test_small_and_empty_inputs(spark):
     assert train_bpe_indexed(corpus_of(spark, texts), 300) == merges
     assert train_bpe_indexed(corpus_of(spark, texts).where("ord < 0"), 300, scanned_size=256) == []
     assert train_bpe_indexed(corpus_of(spark, texts), 255) == []
+
+
+def test_blocks_are_handed_on_a_few_at_a_time(spark):
+    index = PairIndex(corpus_of(spark, {(0, 0): "abab"}), 300, 100, 0.2, [Merge(97, 98, 256)])
+    try:
+        own = index._blocks.sparkSession.conf
+        assert int(own.get("spark.sql.execution.arrow.maxBytesPerBatch")) == indexed._HANDED
+        assert own.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) != str(indexed._HANDED)
+        assert {index._pair(r["pair"]): r["n"] for r in index._counts().collect()} == {(256, 256): 1}
+    finally:
+        index.close()

@@ -26,7 +26,7 @@ import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from twintext.functions.tokens import Merge
@@ -56,6 +56,8 @@ _CELLS = 4096  # directories of blocks
 _LISTED = 200_000  # blocks (20 bytes each) that a look-up names; beyond it all are read
 _LOG = 16  # changes that are added up on reading before the log is compacted
 _REWRITE_SHARE = 0.2
+_READ = 128  # blocks decoded at a time
+_HANDED = 1 << 23  # bytes of blocks handed to a Python worker at a time
 
 
 class PassReads(NamedTuple):
@@ -67,6 +69,17 @@ class PassReads(NamedTuple):
     blocks: int  # that there are
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` that reads and hands on a few blocks at a time, as each is large."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.parquet.columnarReaderBatchSize", _READ)
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _HANDED)
+    return own
+
+
 class PairIndex:
     """Blocks, signed counts and postings of a corpus under training, in the shared folder."""
 
@@ -78,7 +91,7 @@ class PairIndex:
         rewrite_share: float,
         merges: Sequence[Merge] = (),
     ):
-        self.spark = corpus.sparkSession
+        self.spark = _own_session(corpus.sparkSession)
         self.vocab_size = vocab_size
         self._base = join_path(shared_directory(self.spark), f"pair-index-{uuid.uuid4().hex}")
         self._snapshots = Snapshots(self.spark)
@@ -97,10 +110,8 @@ class PairIndex:
             weight.cast("long").alias("weight"),
             F.spark_partition_id().alias("part"),
         )
-        blocks = rows.mapInArrow(block_writer(column, vocab_size, block_tokens, _CELLS), BLOCK_SCHEMA)
-        if merges:
-            blocks = blocks.mapInArrow(block_merger(vocab_size, merges), BLOCK_SCHEMA)
-        self._store(blocks)
+        write = block_writer(column, vocab_size, block_tokens, _CELLS, merges)
+        self._store(rows.mapInArrow(write, BLOCK_SCHEMA))
         self.n_blocks = self._change(None, None)
         self._stored_pairs: int | None = None
 

@@ -24,8 +24,10 @@ _HELD = 1 << 22  # bytes of blocks that a task takes apart at a time, whatever t
 _MARK = -1  # closes a row in stored blocks, whatever the size of the vocabulary
 
 
-def block_writer(column: str, vocab_size: int, block_tokens: int, n_cells: int) -> Callable:
-    """Rows ``(tokens, ord, side, weight, part)`` to blocks of about ``block_tokens`` tokens.
+def block_writer(
+    column: str, vocab_size: int, block_tokens: int, n_cells: int, merges: Sequence[Merge] = ()
+) -> Callable:
+    """Rows ``(tokens, ord, side, weight, part)`` to blocks of about ``block_tokens`` tokens before ``merges``.
 
     Rows are never cut, so a longer one is a block of its own. A block's number
     is unique, as it begins with the number of the task's partition.
@@ -60,7 +62,10 @@ def block_writer(column: str, vocab_size: int, block_tokens: int, n_cells: int)
             names = ["cell", "block", "ids", "ords", "sides", "weights"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return write
+    if not merges:
+        return write
+    carry_out = block_merger(vocab_size, merges)
+    return lambda batches: carry_out(write(batches))
 
 
 def joined_merger(vocab_size: int, merges: Sequence[Merge]) -> Callable:
