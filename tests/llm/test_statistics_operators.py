@@ -217,6 +217,52 @@ def test_only_longest_windows_are_counted(spark):
     assert sorted(whole) == [('! "', 1), ('"', 1)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_windows_are_made_once_and_summed_once_per_length(spark):
+    docs = spark.createDataFrame([("a b c d", "en")], "text string, lang string")
+    for longest in (2, 3, 5):
+        rule = phrases.Rule(longest=longest, least=1)
+        windows = phrases.longest_windows(docs, phrases.Codes((b"a", b"b"), False), rule)
+        plan = plan_of(phrases.phrase_counts(windows, rule))
+        assert plan.count("MapInArrow") == 1 and plan.count("Aggregate [") == longest - 1 and "Union" not in plan
+    assert "Expand" not in plan_of(phrases.word_counts(docs))
+
+
+@pytest.mark.parametrize("codes", [1 << 20, 6, 0])
+def test_windows_of_more_than_one_number(spark, monkeypatch, codes):
+    monkeypatch.setattr(phrases, "CODES", codes)
+    monkeypatch.setattr(phrases, "_WINDOWS", 50)
+    monkeypatch.setattr(phrases, "_ROWS", 3)
+    rnd = random.Random(5)
+    stock = ["a", "b", "c\x01", "c", "~", "~d", "\x02", "é"]
+    rows = [("".join(rnd.choice(stock) + rnd.choice([" ", " ", " ", "; "]) for _ in range(30)), rnd.choice(["en", None])) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    rule = phrases.Rule(longest=5, least=2)
+    found = phrases.collocations(docs, rule)
+    assert Counter(rows_of(found, *found.columns)) == mined(rows_of(docs, "lang", "text"), rule)
+
+
+def test_numbers_of_windows_are_the_codes_of_their_words(spark):
+    words = tuple(f"w{k}".encode() for k in range(93**3 + 200))
+    codes = phrases.Codes(words, False)
+    some = [0, 1, 92, 93, 94, 93**2 - 1, 93**2, 93**2 + 93, 93**3 - 1, 93**3, 93**3 + 199]
+    docs = spark.createDataFrame([(f"w{k} new w{some[-1 - i]}", "en") for i, k in enumerate(some)], "text string, lang string")
+    decode = codes.decoder()
+    found = [" ".join(decode(c).decode() for c in w.encode().split(b" ")) for (w,) in rows_of(phrases.longest_windows(docs, codes), "window")]
+    expected = {t for i, k in enumerate(some) for t in (f"w{k} new w{some[-1 - i]}", f"new w{k}", f"w{k}")}
+    assert Counter(found) == Counter(expected)
+
+
+def test_words_are_counted_across_chunks(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "_HELD", 3)
+    docs = spark.createDataFrame([("a B. b", "en"), ("a", None), ("...", "xx"), (None, "yy")], "text string, lang string")
+    found = {(lang, word): f for lang, word, f in rows_of(phrases.word_counts(docs), "lang", "word", "f")}
+    assert found == {("en", None): 3, ("en", "a"): 1, ("en", "b"): 2, ("und", None): 1, ("und", "a"): 1}
+
+
 # Whitening
 
 

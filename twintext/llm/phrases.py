@@ -3,15 +3,15 @@
 Texts are cut into pieces at punctuation and line ends, pieces into words at
 spaces and tabs; A-Z count as lower case. Only windows of the longest length are
 counted, one per word: the word and, in columns that lead it, those that follow
-in its piece, padded at the end. Their counts are summed to those of all shorter
+in its piece, padded at the end. Their counts are summed to those of shorter
 phrases, word by word, as a shorter phrase stands wherever a window begins with
-it; no shorter window is ever made.
+it; no shorter window is ever made. Single words are counted before.
 
-Windows travel as short codes. The most frequent words, at most ``CODES`` of
-them, of 1 KB each and 32 MB together, have codes that are sent to all tasks;
-other words are written out. If all words with ``Rule.least`` occurrences have codes, the
-others are in no candidate, and windows end before them. Either way the counts
-of frequent phrases are exact.
+Windows travel as numbers. The most frequent words, at most ``CODES`` of
+them, of 1 KB each and 32 MB together, have codes that are sent to all tasks,
+three to a 64-bit number; other words are written out. If all words with
+``Rule.least`` occurrences have codes, the others are in no candidate, and
+windows end before them. Either way the counts of frequent phrases are exact.
 
 A phrase of ``a`` occurrences is scored by the cut that explains it best: with
 ``l`` and ``r`` occurrences of the parts before and after the cut, the score is
@@ -28,9 +28,10 @@ An empty table gives no rows. Texts are read whole; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,12 @@ from pyspark.sql import functions as F
 from twintext.llm.common import Scratch, ship_package
 
 CODES = 1 << 20  # words with a code
+_BITS, _TOGETHER = 21, 3  # of a code's number, and such numbers in a column of windows
+_END, _WRITTEN, _FIRST = 0, 1, 2  # numbers of no word, of words without code, and of the first code
 _CODED, _CODED_TOGETHER = 1 << 10, 1 << 25  # bytes of a word with a code, and of all of them, at most
-_HELD = 1 << 18  # words of a task counted at once
+_HELD = 1 << 18  # words of a task read at once, and different ones counted at once
+_WINDOWS = 1 << 20  # windows of a task counted at once
+_ROWS = 1 << 16  # rows of a batch
 _PIECE = 1 << 20  # bytes of a text, unless a single word is longer
 _SALTS = 64  # parts in which the phrases of a language are ranked first
 _COUNT = "decimal(14,0)"
@@ -101,39 +106,48 @@ def _by_language(batch: pa.RecordBatch, behind: int) -> Iterator[tuple[str, list
         yield lang, tokens, len(tokens)
 
 
-def _numbered(tokens: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """The distinct tokens, and for each token its place among them."""
-    places = {w: k for k, w in enumerate(dict.fromkeys(tokens))}
-    return list(places), np.fromiter(map(places.__getitem__, tokens), "i8", len(tokens))
-
-
 def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
     named = F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang")
     return docs.select(named, F.col(text).cast("binary").alias("text"))
 
 
-def _string(values: list[bytes]) -> pa.Array:
+def _string(values: list[bytes | None]) -> pa.Array:
     return pa.array(values, pa.binary()).view(pa.string())
 
 
+def _batches(lang: str, columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Rows of a language, some at a time."""
+    rows = len(next(iter(columns.values())))
+    for start in range(0, rows, _ROWS):
+        some = [c.slice(start, _ROWS) for c in columns.values()]
+        langs = pa.repeat(pa.scalar(lang, pa.string()), len(some[0]))
+        yield pa.RecordBatch.from_arrays([langs, *some], ["lang", *columns])
+
+
 def word_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """``(lang, word, f)``: how often each word occurs, and with a null word how many there are."""
     ship_package(docs.sparkSession)
 
+    def rows(lang: str, counts: Counter) -> Iterator[pa.RecordBatch]:
+        if counts:
+            words, f = _string([None, *counts]), pa.array([counts.total(), *counts.values()], pa.int64())
+            yield from _batches(lang, {"word": words, "f": f})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: defaultdict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, tokens, _ in _by_language(batch, 0):
-                words, places = _numbered(tokens)
-                counts = np.bincount(places, minlength=len(words))
-                named = np.array([w != _STOP for w in words], bool)
-                kept = pa.array(named)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * int(named.sum()), pa.string()), _string(words).filter(kept), pa.array(counts[named])],
-                    ["lang", "word", "f"],
-                )
+                held[lang].update(tokens)
+                held[lang].pop(_STOP, None)
+                if sum(map(len, held.values())) >= _HELD:
+                    for other, counts in held.items():
+                        yield from rows(other, counts)
+                    held.clear()
+        for lang, counts in held.items():
+            yield from rows(lang, counts)
 
     counts = _texts(docs, lang, text).mapInArrow(run, "lang string, word string, f long")
-    return counts.rollup("lang", "word").agg(F.sum("f").alias("f")).where("lang IS NOT NULL")
+    return counts.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
 @dataclass(frozen=True)
@@ -151,11 +165,9 @@ class Codes:
             if not number:
                 return bytes(digits)
 
-    def encoder(self) -> Callable[[bytes], bytes | None]:
-        """Words to codes; none for stops and words that are in no candidate."""
-        known = {w: self.code(k) for k, w in enumerate(self.words)}
-        known[_STOP] = None
-        return known.get if self.complete else lambda w: known[w] if w in known else b"~" + w
+    def numbers(self) -> dict[bytes, int]:
+        """Words to the numbers of their codes."""
+        return {_STOP: _END, **{w: k for k, w in enumerate(self.words, _FIRST)}}
 
     def decoder(self) -> Callable[[bytes], bytes]:
         known = {self.code(k): w for k, w in enumerate(self.words)}
@@ -187,64 +199,148 @@ def codes_of(counts: DataFrame, rule: Rule) -> Codes:
     return Codes(tuple(w for _, w in rows), complete)
 
 
+def _packed_names(longest: int) -> list[str]:
+    return [f"packed{k}" for k in range(-(-longest // _TOGETHER))]
+
+
+def _shift(place: int) -> int:
+    """Where the number of a word stands in its column; earlier words stand higher."""
+    return _BITS * (_TOGETHER - 1 - place % _TOGETHER)
+
+
+def _number(place: int) -> Column:
+    """The number of the word at a place of a window."""
+    return F.shiftright(f"packed{place // _TOGETHER}", _shift(place)).bitwiseAND(F.lit((1 << _BITS) - 1))
+
+
+def _written(size: int) -> Column:
+    """How many of the first words of a window are written out."""
+    return sum(((_number(k) == _WRITTEN).cast("int") for k in range(size)), F.lit(0))
+
+
+def _beginning(longest: int, size: int) -> list[Column]:
+    """The columns of a window, ``size`` words of it kept."""
+    kept = []
+    for k, name in enumerate(_packed_names(longest)):
+        here = min(max(size - k * _TOGETHER, 0), _TOGETHER)
+        mask = ((1 << here * _BITS) - 1) << (_TOGETHER - here) * _BITS
+        kept.append(F.col(name).bitwiseAND(F.lit(mask).cast("long")).alias(name))
+    count = _written(size)
+    words = F.call_function("substring_index", F.col("written"), F.lit(" "), count)
+    return [*kept, F.when(F.col("written").isNotNull() & (count > 0), words).alias("written")]
+
+
+def _window(longest: int) -> Column:
+    """A window as the codes of its words, written-out words after a tilde, and spaces."""
+    base, parts = len(_DIGITS), []
+    for place in range(longest):
+        number = _number(place)
+        code = number - _FIRST
+        digits = [F.char(F.lit(_DIGITS[0]) + code % base)]
+        limit = base
+        while limit < 1 << _BITS:
+            digit = F.char(F.lit(_DIGITS[0]) + F.floor(code / limit).cast("long") % base)
+            digits.append(F.when(code >= limit, digit).otherwise(""))
+            limit *= base
+        word = F.concat(F.lit("~"), F.get(F.split("written", " "), _written(place)))
+        parts.append(F.when(number >= _FIRST, F.concat(*digits)).when(number == _WRITTEN, word))
+    return F.concat_ws(" ", *parts).alias("window")
+
+
 def longest_windows(
     docs: DataFrame, codes: Codes, rule: Rule = Rule(), lang: str = "lang", text: str = "text"
 ) -> DataFrame:
-    """``(lang, window, f)``: how often each window of the longest length occurs, as codes and spaces."""
-    ship_package(docs.sparkSession)
-    longest = rule.longest
+    """``(lang, window, f)``: how often each window of the longest length occurs, as codes and spaces.
 
-    def counted(lang: str, tokens: list[bytes], n: int, encode: Callable) -> Iterator[pa.RecordBatch]:
-        words, places = _numbered(tokens)
-        coded = [encode(w) for w in words]
-        # 0 is padding; columns lead each word by one more.
-        numbers = np.array([k + 1 if c is not None else 0 for k, c in enumerate(coded)], "i8")
-        padded = np.concatenate([numbers[places], np.zeros(longest, "i8")])
-        columns = [padded[:n]]
-        for k in range(1, longest):
-            columns.append(np.where(columns[-1] > 0, padded[k : n + k], 0))
-        base, packed = len(words) + 1, columns[0]
-        for column in columns[1:]:
-            if int(packed.max(initial=0)) >= (1 << 62) // base:
-                packed = np.unique(packed, return_inverse=True)[1]
-            packed = packed * base + column
-        first, counts = np.unique(packed, return_index=True, return_counts=True)[1:]
-        strings = _string([b"", *[c or b"" for c in coded]])
-        lengths = sum((c[first] > 0).astype("i8") for c in columns)
-        for length in range(1, longest + 1):
-            these = first[lengths == length]
-            if len(these):
-                parts = [strings.take(pa.array(c[these])) for c in columns[:length]]
-                keys = pc.binary_join_element_wise(*parts, " ")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(these), pa.string()), keys, pa.array(counts[lengths == length])],
-                    ["lang", "window", "f"],
-                )
+    Further columns hold the window as it travels: numbers of words in
+    ``packed0`` and so on, and in ``written`` the words without code.
+    """
+    ship_package(docs.sparkSession)
+    longest, packed_names = rule.longest, _packed_names(rule.longest)
+
+    def distinct(lang: str, packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(packed) == 1:
+            values, f = np.unique(packed[0], return_counts=True)
+            values = values[None]
+        else:
+            values, f = np.unique(packed, axis=1, return_counts=True)
+        columns = {name: pa.array(np.ascontiguousarray(v)) for name, v in zip(packed_names, values)}
+        yield from _batches(lang, {**columns, "written": pa.nulls(len(f), pa.string()), "f": pa.array(f)})
+
+    def spelled(
+        lang: str, tokens: list[bytes], columns: list[np.ndarray], packed: np.ndarray, these: np.ndarray
+    ) -> Iterator[pa.RecordBatch]:
+        """Windows with words without code, each on its own."""
+        local = {w: k for k, w in enumerate(dict.fromkeys(tokens))}
+        words = _string(list(local))
+        parts = []
+        for k, column in enumerate(columns):
+            at = np.minimum(these + k, len(tokens) - 1)
+            places = np.fromiter((local[tokens[i]] for i in at.tolist()), "i8", len(at))
+            parts.append(words.take(pa.array(places, mask=column[these] != _WRITTEN)))
+        written = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
+        columns = {name: pa.array(np.ascontiguousarray(v)) for name, v in zip(packed_names, packed[:, these])}
+        yield from _batches(lang, {**columns, "written": written, "f": pa.array(np.ones(len(these), "i8"))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codes.encoder()
+        numbers, other = codes.numbers(), _END if codes.complete else _WRITTEN
+        held: defaultdict[str, list[np.ndarray]] = defaultdict(list)
+        size = 0
         for batch in batches:
             for lang, tokens, n in _by_language(batch, longest - 1):
-                yield from counted(lang, tokens, n, encode)
-
-    windows = _texts(docs, lang, text).mapInArrow(run, "lang string, window string, f long")
-    return windows.groupBy("lang", "window").agg(F.sum("f").alias("f"))
+                padded = np.zeros(len(tokens) + longest, "i8")
+                padded[: len(tokens)] = np.fromiter(map(numbers.get, tokens, repeat(other)), "i8", len(tokens))
+                columns = [padded[:n]]
+                for k in range(1, longest):
+                    columns.append(np.where(columns[-1] > _END, padded[k : n + k], _END))
+                packed = np.zeros((len(packed_names), n), "i8")
+                for k, column in enumerate(columns):
+                    packed[k // _TOGETHER] |= column << _shift(k)
+                kept = columns[0] > _END
+                if not codes.complete:
+                    written = np.any([c == _WRITTEN for c in columns], axis=0)
+                    if written.any():
+                        yield from spelled(lang, tokens, columns, packed, np.flatnonzero(written))
+                    kept &= ~written
+                held[lang].append(packed[:, kept])
+                size += n
+                if size >= _WINDOWS:
+                    for full, some in held.items():
+                        yield from distinct(full, np.concatenate(some, axis=1))
+                    held.clear()
+                    size = 0
+        for lang, some in held.items():
+            yield from distinct(lang, np.concatenate(some, axis=1))
+
+    keys = ["lang", *packed_names, "written"]
+    longs = ", ".join(f"{name} long" for name in packed_names)
+    windows = _texts(docs, lang, text).mapInArrow(run, f"lang string, {longs}, written string, f long")
+    return windows.groupBy(*keys).agg(F.sum("f").alias("f")).select("*", _window(longest))
 
 
 def phrase_counts(windows: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``(lang, size, window, f)``: phrases of 1 to ``longest`` words with ``least`` occurrences or more."""
-    kept, level = [], windows
-    for size in range(rule.longest, 0, -1):
-        if size < rule.longest:
-            # Sums of sums: phrases of one more word, and windows that end before it, by what they begin with.
-            begin = F.substring_index("window", " ", size).alias("window")
-            level = level.select("lang", begin, "f").groupBy("lang", "window").agg(F.sum("f").alias("f"))
-        words = F.size(F.split("window", " "))
-        # Asked for with the count, as a filter on the size alone would move below the
-        # shuffle of the windows, which then would be made twice.
-        full = level.where(F.when(words == size, F.col("f")).otherwise(0) >= rule.least)
-        kept.append(full.select("lang", F.lit(size).alias("size"), "window", "f"))
-    return reduce(DataFrame.unionByName, kept)
+    """``(lang, size, window, f)``: phrases of 2 to ``longest`` words with ``least`` occurrences or more.
+
+    Sums of sums: phrases of one more word, and windows that end before it, by
+    what they begin with. Frequent phrases go along with the sums, so that each
+    sum is made once.
+    """
+    longest = rule.longest
+    keys = ["lang", *_packed_names(longest), "written"]
+    found = F.col("f") >= rule.least
+    level = windows.select(*keys, "f")
+    for size in range(longest - 1, 1, -1):
+        full = _number(size) > _END  # has more words
+        done = _number(size + 1) > _END if size + 1 < longest else F.lit(False)
+        whole, begin = F.lit(longest), F.lit(size)
+        sizes = F.when(done, F.array(whole)).when(full & found, F.array(whole, begin)).otherwise(F.array(begin))
+        level = level.select(*keys, "f", F.explode(sizes).alias("kept"))
+        shorter = _beginning(longest, size)
+        columns = [F.when(F.col("kept") == size, c).otherwise(F.col(k)).alias(k) for k, c in zip(keys[1:], shorter)]
+        level = level.select("lang", *columns, "f").groupBy(*keys).agg(F.sum("f").alias("f"))
+    words = sum(((_number(k) > _END).cast("int") for k in range(longest)), F.lit(0))
+    level = level.where(found & (_number(1) > _END))
+    return level.select("lang", words.alias("size"), _window(longest), "f")
 
 
 def _spelled(counts: DataFrame, codes: Codes) -> DataFrame:
@@ -303,9 +399,10 @@ def collocations(docs: DataFrame, rule: Rule = Rule(), lang: str = "lang", text:
     scratch = Scratch(docs.sparkSession, "phrases")
     words = scratch.write(word_counts(docs, lang, text), "words")
     codes = codes_of(words, rule)
-    # Both parts of the counts read the shuffled windows.
     windows = longest_windows(docs, codes, rule, lang, text)
-    counts = scratch.write(_spelled(phrase_counts(windows, rule), codes), "counts")
+    single = words.where(F.col("word").isNotNull() & (F.col("f") >= rule.least))
+    single = single.select("lang", F.lit(1).alias("size"), F.col("word").alias("phrase"), "f")
+    counts = scratch.write(_spelled(phrase_counts(windows, rule), codes).unionByName(single), "counts")
     candidates = counts.where("size >= 2").withColumnRenamed("f", "a")
     scored = _scored(candidates, counts, rule)
     around = scratch.write(_inside_longer(candidates, rule), "around")
